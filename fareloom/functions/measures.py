@@ -45,5 +45,10 @@ def converted(amount: ColumnLike, rate: ColumnLike) -> Column:
 
 
 def yes_no_flag(flag: ColumnLike) -> Column:
-    """``Y`` / ``N`` text to boolean; blanks and other text become null, also under ANSI."""
-    return as_column(flag).try_cast("boolean")
+    """``Y`` / ``N`` text to boolean; blanks and other text become null, also under ANSI.
+
+    Blanks are common in flags and are made null first: ``try_cast`` raises and catches an exception for every text
+    it refuses, which costs more than the rest of a row.
+    """
+    text = as_column(flag).cast("string")
+    return F.when(F.trim(text) != "", text).try_cast("boolean")

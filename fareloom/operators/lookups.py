@@ -1,16 +1,22 @@
-"""Row-level lookups: the lookup side is broadcast only after its size has been measured."""
+"""Row-level lookups: broadcast after a size check, otherwise a shuffle join with heavy keys spread out."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+# A key with more than one part in this many of all rows is split; so at most this many keys are.
+FAIR_SHARES = 1000
+# Counters of the heavy-hitter sketch: enough to find every key above its fair share.
+TRACKED_KEYS = 10 * FAIR_SHARES
 
+_HASH = "__key_hash"
+_PIECES = "__pieces"
 _SALT = "__salt"
 _ROW_BYTES = 16
 _FIELD_BYTES = 8
@@ -29,6 +35,59 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def key_hash(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
+    """Hash of the key columns in the types a join of the two compares them in.
+
+    Spark hashes an int and a bigint of the same value differently, although they join.
+    """
+    common = left.select(*on).limit(0).union(right.select(*on).limit(0)).schema
+    return F.xxhash64(*[F.col(field.name).cast(field.dataType) for field in common])
+
+
+def heavy_keys(df: DataFrame, key: Column) -> list[tuple[int, int]]:
+    """Hashes of keys above their fair share of rows, each with the number of pieces that restores it.
+
+    One pass over the key columns with a mergeable sketch of fixed size: no shuffle of keys, and at most
+    ``FAIR_SHARES`` results. The counts are estimates, which decide only how rows are spread, never which rows match.
+    """
+    found = (
+        df.select(key.alias(_HASH))
+        .agg(
+            F.count("*").alias("rows"),
+            F.call_function("approx_top_k", F.col(_HASH), F.lit(FAIR_SHARES), F.lit(TRACKED_KEYS)).alias("top"),
+        )
+        .first()
+    )
+    share = found["rows"] / FAIR_SHARES
+    return [(key.item, ceil(key["count"] / share)) for key in found["top"] or [] if key["count"] > share]
+
+
+def spread_join(
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, spread_by: Sequence[str]
+) -> DataFrame:
+    """Shuffle join in which no reducer gets more than about a fair share of one key's facts.
+
+    Facts of a heavy key are dealt out over its pieces, and the lookup rows of that key, and only those, are repeated
+    once per piece, so that every pair meets exactly once. The piece is a hash of the fact row, never a random
+    number: a task that runs again after an executor was lost places its rows as before.
+    """
+    key = key_hash(facts, lookup, on)
+    heavy = heavy_keys(facts, key)
+    if not heavy:
+        return facts.join(lookup, list(on), how)
+    pieces = F.broadcast(facts.sparkSession.createDataFrame(heavy, f"{_HASH} long, {_PIECES} int"))
+    count = F.coalesce(F.col(_PIECES), F.lit(1))
+
+    def with_pieces(df: DataFrame) -> DataFrame:
+        return df.withColumn(_HASH, key).join(pieces, _HASH, "left")
+
+    dealt = with_pieces(facts).withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), count).cast("int"))
+    repeated = with_pieces(lookup).withColumn(_SALT, F.explode(F.sequence(F.lit(0), count - 1)))
+    return (
+        dealt.drop(_HASH, _PIECES).join(repeated.drop(_HASH, _PIECES), [*on, _SALT], how).drop(_SALT)
+    )
+
+
 def attach(
     facts: DataFrame,
     lookup: DataFrame,
@@ -37,24 +96,19 @@ def attach(
     *,
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join facts to a lookup table on shared column names, with ``how`` inner or left.
 
-    A lookup within ``broadcast_bytes`` is broadcast, which leaves the facts where they are. A larger one is joined by
-    shuffle with salted keys: facts of one key spread over ``salts`` reducers, and each lookup row is repeated once
-    per salt, so every pair meets exactly once. The salt is a hash of the fact row (``spread_by``, by default all
-    columns outside the key), never a random number: a task that is run again after losing an executor places its
-    rows as before.
+    A lookup measured within ``broadcast_bytes`` is broadcast, which leaves the facts where they are. A larger one
+    goes through ``spread_join``; ``spread_by`` names fact columns that tell rows of one key apart, by default all
+    columns outside the key.
     """
     if how not in ("inner", "left"):
-        raise ValueError("only inner and left lookups keep every matching fact row exactly once per lookup row")
+        raise ValueError("a lookup is an inner or a left join")
     if measured_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), list(on), how)
     spread = list(spread_by or [name for name in facts.columns if name not in on])
-    salted_facts = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_lookup, [*on, _SALT], how).drop(_SALT)
+    return spread_join(facts, lookup, on, how, spread)
 
 
 def attach_dimension(

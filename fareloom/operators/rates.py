@@ -27,7 +27,7 @@ def daily_rates(rates: DataFrame, currencies: Sequence[str]) -> DataFrame:
     for currency in currencies:
         quoted = F.col("to_currency") == currency
         duplicate = F.concat(
-            F.lit(f"more than one {currency} rate for "), F.first("from_currency"), F.lit(" on "), F.first(_DAY)
+            F.lit(f"more than one {currency} rate for "), F.col("from_currency"), F.lit(" on "), F.col(_DAY)
         )
         columns.append(
             F.when(F.count_if(quoted) > 1, F.raise_error(duplicate).cast("double"))

@@ -245,7 +245,7 @@ ORACLES: dict[str, str] = {
         """,
     "flag_cast": """
         SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS flag,
-               TRY_CAST(l_returnflag AS INTEGER) AS not_a_number, CAST(l_linenumber AS VARCHAR) AS line_text
+               CAST(l_quantity AS INTEGER) AS whole_quantity, CAST(l_linenumber AS VARCHAR) AS line_text
         FROM lineitem
         """,
     "ip_validity": _IP,
@@ -256,7 +256,7 @@ ORACLES: dict[str, str] = {
         FROM checked GROUP BY variant
         """,
     "dimension_lookup": _LOOKUP,
-    "dimension_lookup_salted": _LOOKUP,
+    "dimension_lookup_shuffled": _LOOKUP,
     "fx_enrich": _FX,
     "fx_enrich_two_joins": _FX,
     "fact_green": f"WITH {_facts(_GREEN_TRIPS)} SELECT * FROM facts",

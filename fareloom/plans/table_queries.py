@@ -323,7 +323,7 @@ def flag_cast(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         yes_no_flag(_flag("l_returnflag", "R", "A")).alias("flag"),
-        F.col("l_returnflag").try_cast("int").alias("not_a_number"),
+        F.col("l_quantity").try_cast("int").alias("whole_quantity"),
         F.col("l_linenumber").cast("string").alias("line_text"),
     )
 
@@ -374,7 +374,7 @@ def dimension_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def dimension_lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
+def dimension_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the dimension taken as too large to broadcast."""
     return attach_dimension(
         _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
@@ -587,7 +587,7 @@ QUERIES: dict[str, Query] = {
     "ip_validity_udf": ip_validity_udf,
     "ip_validity_counts": ip_validity_counts,
     "dimension_lookup": dimension_lookup,
-    "dimension_lookup_salted": dimension_lookup_salted,
+    "dimension_lookup_shuffled": dimension_lookup_shuffled,
     "fx_enrich": fx_enrich,
     "fx_enrich_two_joins": fx_enrich_two_joins,
     "fact_green": fact_green,
