@@ -12,23 +12,28 @@ from fareloom.sources.periods import Period
 DAY_PARTITIONS = ("year", "month", "day")
 
 
+def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Group rows by the given columns for a partitioned write.
+
+    The rebalance hint lets adaptive execution split a value that holds a large share of the rows over many tasks, and
+    merge small values into one task, instead of giving every value to exactly one.
+    """
+    return df.hint("rebalance", *by)
+
+
 def stage(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = DAY_PARTITIONS,
     max_records_per_file: int = 0,
+    balance: bool = True,
 ) -> None:
     """Overwrite ``path`` with ``df``, one directory per partition value.
 
-    The rebalance hint groups rows by partition value so that a task writes few directories, and lets adaptive
-    execution split a value that holds a large share of the rows over many tasks instead of sending it to one.
+    Rows are balanced by partition value first, unless the caller has done so on narrower rows.
     """
-    writer = (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_by)
-    )
+    rows = balanced(df, partition_by) if balance else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)

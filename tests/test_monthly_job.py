@@ -121,6 +121,33 @@ def test_wide_raw_files_are_read_narrow(spark, make_trips, lake):
     assert not any("unused" in schema for schema in schemas)
 
 
+def test_a_hot_day_is_written_by_several_tasks(spark, make_trips, lake):
+    """Nearly all bookings on one day, in a single shuffle of the raw columns."""
+    trips = make_trips(GOOD).crossJoin(spark.range(0, 100000, 1, 8))
+    noisy = trips.where("id % 50 = 0 OR lpep_pickup_datetime < '2024-06-02'").withColumn(
+        "tip_amount", F.rand(7)
+    )
+    noisy.drop("id").repartition(8).write.parquet(f"{lake.bookings}/year=2024/month=06")
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        monthly_job.transform(spark, monthly_job.Period.parse("2024-06"), GREEN, lake)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    days = {
+        day: [f for f in os.listdir(f"{lake.staging}/year=2024/month=06/day={day}") if f.endswith(".parquet")]
+        for day in ("01", "02")
+    }
+    assert len(days["01"]) > 2
+    assert staged_table(spark, lake.staging, FACT_BOOKINGS).count() == 102000
+
+
 def test_day_report_over_published_rows(spark, make_trips, lake):
     put(make_trips, lake, GOOD)
     monthly_job.run(spark, "2024-06", GREEN, lake)
@@ -134,9 +161,9 @@ def test_command_line(spark, make_trips, lake, monkeypatch):
     monkeypatch.setattr(monthly_job, "open_session", lambda name: spark)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     arguments = ["--date_str", "2024-06", "--dialect", "green"]
-    for name in ("bookings", "rates", "staging", "facts"):
+    for name in ("bookings", "rates", "staging", "facts", "rejects"):
         arguments += [f"--{name}", getattr(lake, name)]
-    monthly_job.main(arguments)
+    monthly_job.main([*arguments, "--max_records_per_file", "200000"])
     assert len(published(spark, lake)) == 2
     with pytest.raises(SystemExit):
         monthly_job.main(arguments[2:])
