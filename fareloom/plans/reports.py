@@ -130,10 +130,13 @@ def hourly_trend_of_top_groups_sql(
           FROM per_key p JOIN {{dimension}} d ON p.fact_key = d.{star.dimension_key}
           GROUP BY d.{star.group}, p.pickup_hour
         ), largest AS (
-          SELECT grp, sum(trips) AS trip_count FROM per_group GROUP BY grp ORDER BY trip_count DESC, grp LIMIT {k}
+          -- at most 25 entries per group: one per hour and one for missing timestamps
+          SELECT grp, sum(trips) AS trip_count, collect_list(struct(pickup_hour, trips)) AS hours
+          FROM per_group GROUP BY grp ORDER BY trip_count DESC, grp LIMIT {k}
         )
-        SELECT g.grp AS {star.label}, g.pickup_hour, g.trips AS trips_during_hour
-        FROM per_group g JOIN largest l ON g.grp = l.grp
+        SELECT grp AS {star.label}, h.pickup_hour, h.trips AS trips_during_hour
+        FROM largest LATERAL VIEW inline(hours) h AS pickup_hour, trips
+        WHERE grp IS NOT NULL
         ORDER BY {star.label}, trips_during_hour DESC, pickup_hour
         """,
         facts=facts,
