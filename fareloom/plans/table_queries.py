@@ -339,7 +339,9 @@ def _ip_tokens(spark: SparkSession, folder: str) -> DataFrame:
         F.posexplode(F.array(F.col("token"), F.concat(F.lit("9"), F.col("token")))).alias("variant", "ip_address"),
     )
     samples = rows_table(
-        spark, [(-1, i, 0, text) for i, text in enumerate(IP_SAMPLES)], "doc_id long, pos int, variant int, ip_address string"
+        spark,
+        [(-1, i, 0, text) for i, text in enumerate(IP_SAMPLES)],
+        "doc_id long, pos int, variant int, ip_address string",
     )
     return variants.unionByName(samples)
 

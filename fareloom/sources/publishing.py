@@ -16,9 +16,11 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Group rows by the given columns for a partitioned write.
 
     The rebalance hint lets adaptive execution split a value that holds a large share of the rows over many tasks, and
-    merge small values into one task, instead of giving every value to exactly one.
+    merge small values into one task, instead of giving every value to exactly one. Without adaptive execution it
+    would do just that, so rows then stay where they are, at the price of more files.
     """
-    return df.hint("rebalance", *by)
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return df.hint("rebalance", *by) if adaptive else df
 
 
 def stage(

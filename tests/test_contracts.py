@@ -16,7 +16,8 @@ WANTED = StructType().add("id", "integer", False).add("name", "string").add("amo
 
 
 def test_every_kind_of_finding():
-    actual = StructType().add("name", "string", False).add("id", "long", False).add("amount", "double").add("more", "integer")
+    actual = StructType().add("name", "string", False).add("id", "long", False).add("amount", "double")
+    actual = actual.add("more", "integer")
     grouped = findings_by_kind(schema_findings(actual, WANTED))
     assert grouped[MISSING] == ["flag"]
     assert grouped[EXTRA] == ["more"]
@@ -30,7 +31,8 @@ def test_same_schema_has_no_findings():
 
 
 def test_severities():
-    actual = StructType().add("id", "integer", True).add("name", "string", False).add("amount", "string").add("x", "integer")
+    actual = StructType().add("id", "integer", True).add("name", "string", False).add("amount", "string")
+    actual = actual.add("x", "integer")
     severity = {(f.kind, f.field): f.severity for f in schema_findings(actual, WANTED)}
     assert severity == {
         (MISSING, "flag"): "error",
@@ -42,7 +44,8 @@ def test_severities():
 
 
 def test_field_names_are_compared_exactly():
-    grouped = findings_by_kind(schema_findings(StructType().add("ID", "integer", False), StructType().add("id", "integer", False)))
+    upper, lower = (StructType().add(name, "integer", False) for name in ("ID", "id"))
+    grouped = findings_by_kind(schema_findings(upper, lower))
     assert grouped[MISSING] == ["id"] and grouped[EXTRA] == ["ID"]
 
 

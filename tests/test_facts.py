@@ -72,7 +72,7 @@ def test_normal_trip(make_trips, june_rates):
         ("10:00:00", "10:02:00", 5.0, 10.0, {"trip_efficiency": None, "speed_mile_per_hour": 150.0}),
         ("10:00:00", "10:30:00", 1.0, 10.0, {"trip_efficiency": None, "speed_mile_per_hour": 2.0}),
         ("10:00:00", "10:00:00", 5.0, 10.0, {"trip_mins": 0.0, "speed_mile_per_hour": None, "trip_efficiency": None}),
-        ("10:30:00", "10:00:00", 5.0, 10.0, {"trip_mins": -30.0, "speed_mile_per_hour": -10.0, "trip_efficiency": None}),
+        ("10:30:00", "10:00:00", 5.0, 9.0, {"trip_mins": -30.0, "speed_mile_per_hour": -10.0, "trip_efficiency": None}),
         ("10:00:00", "10:30:00", None, 10.0, {"speed_mile_per_hour": None, "trip_efficiency": None, "trip_mins": 30.0}),
     ],
 )

@@ -131,6 +131,7 @@ def test_unreadable_rate_dates_match_nothing(amounts, make_rates):
 
 
 def test_daily_rates_are_one_row_per_day(make_rates):
-    rates = make_rates([("USD", "GBP", "2024-06-01", 0.8), ("USD", "EUR", "2024-06-01", 0.9), ("EUR", "GBP", "2024-06-01", 0.85)])
+    day = "2024-06-01"
+    rates = make_rates([("USD", "GBP", day, 0.8), ("USD", "EUR", day, 0.9), ("EUR", "GBP", day, 0.85)])
     result = daily_rates(rates, ["GBP", "EUR"])
     assert sorted((row[0], *row[2:]) for row in rows(result)) == [("EUR", 0.85, None), ("USD", 0.8, 0.9)]

@@ -90,7 +90,9 @@ def test_bookings_by_platform_keeps_unmatched_keys(spark):
          (None, "2024", "06", "10"), ("HV0003", "2024", "06", "11")],
         "platform_key string, year string, month string, day string",
     )
-    platforms = spark.createDataFrame([("HV0003", "Uber"), ("HV0005", "Lyft")], "platform_key string, platform_name string")
+    platforms = spark.createDataFrame(
+        [("HV0003", "Uber"), ("HV0005", "Lyft")], "platform_key string, platform_name string"
+    )
     result = reports.bookings_by_platform(facts, platforms, "2024", "06", "10")
     assert sorted(rows(result), key=str) == [("Uber", 2), (None, 2)]
 

@@ -9,7 +9,7 @@ from fareloom.plans.tables import DIM_LOCATION, DIM_PLATFORM, LOCATION_FILE
 from fareloom.session import discard_at_exit, materialise, scratch_path
 from fareloom.sources import catalog
 from fareloom.sources.periods import Period, period_scan
-from fareloom.sources.publishing import compact_export, publish, stage, staged_partitions, staged_table
+from fareloom.sources.publishing import balanced, compact_export, publish, stage, staged_partitions, staged_table
 from fareloom.sources.tables import csv_table, parquet_table, register, rows_table, sql_table
 
 CONTRACT = StructType().add("id", "long").add("year", "string").add("month", "string").add("day", "string")
@@ -44,7 +44,8 @@ def test_period_text():
 @pytest.mark.parametrize("inference", ["true", "false"])
 def test_period_scan_reads_one_month(spark, tmp_path, inference):
     base = str(tmp_path / "raw")
-    stage(dated(spark, (1, "2024-06-01"), (2, "2024-06-30"), (3, "2024-07-01"), (4, "2023-06-01")), base, ("year", "month"))
+    history = dated(spark, (1, "2024-06-01"), (2, "2024-06-30"), (3, "2024-07-01"), (4, "2023-06-01"))
+    stage(history, base, ("year", "month"))
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", inference)
     try:
         scan = period_scan(spark, base + "/", Period.parse("2024-06"))
@@ -112,6 +113,16 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
+def test_without_adaptive_execution_rows_are_not_gathered(spark, tmp_path):
+    df = dated(spark, (1, "2024-06-01"))
+    assert "rebalance" in balanced(df, ["day"])._jdf.queryExecution().logical().toString().lower()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert balanced(df, ["day"]) is df
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_staged_partitions(spark):
     df = dated(spark, (1, "2024-06-01"), (2, "2024-06-01"), (3, "2024-07-02"))
     assert sorted(rows(staged_partitions(df))) == [("2024", "06", "01"), ("2024", "07", "02")]
