@@ -36,4 +36,18 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, size * copies AS taken, source, copies FROM c
 """
 
-ORACLES: dict[str, str] = {"op4_source_mix": OP4}
+OP7 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op4_source_mix": OP4, "op7_top_k": OP7}

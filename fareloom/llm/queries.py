@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareloom.llm import lengths, mixing, packing
+from fareloom.llm import language, lengths, mixing, packing, quality, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,37 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from labels outside the held-out fold."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.train(docs, labels.filter(textkit.id_fold("doc_id", 4) != 2))
+    return quality.scored(docs.select("doc_id", "text", "n_chars"), model).select(
+        "doc_id",
+        (textkit.id_fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.filter(textkit.id_fold("doc_id", 3) != 1))
+    return language.predict(docs, model).select(
+        "doc_id", (textkit.id_fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Five best inner products of every query vector."""
+    vectors = (
+        table(spark, folder, "embeddings")
+        .filter(F.col("vec_id").isNotNull() & topk.usable(F.col("embedding")))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), topk.scaled(F.col("embedding")).alias("v"))
+    )
+    return topk.top_k(vectors.filter(F.col("vec_id") % 50 == 0), vectors, 5)
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Histogram of encoded lengths with its suffix sums."""
     return lengths.with_suffix_sums(lengths.histogram(table(spark, folder, "documents")))
@@ -31,6 +63,9 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mix": op4_source_mix,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_language_id": op6_language_id,
+    "op7_top_k": op7_top_k,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
 }
