@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import language, lengths, mixing, packing, quality, textkit, topk
+from fareloom.llm import language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,16 +56,28 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return lengths.with_suffix_sums(lengths.histogram(table(spark, folder, "documents")))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Known licenses in every document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return spotsigs.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 tokens."""
     return packing.packed(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
     "op4_source_mix": op4_source_mix,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_language_id": op6_language_id,
     "op7_top_k": op7_top_k,
     "op8_token_counts": op8_token_counts,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
