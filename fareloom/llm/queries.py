@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
+from fareloom.llm import chunks, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document less its repeated passages."""
+    return chunks.deduplicated(table(spark, folder, "documents"), report=True)
+
+
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     mixed = mixing.mixture(table(spark, folder, "documents"))
@@ -73,6 +78,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_source_mix": op4_source_mix,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_language_id": op6_language_id,
