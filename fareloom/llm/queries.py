@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import chunks, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
+from fareloom.llm import chunks, jaccard, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return lengths.with_suffix_sums(lengths.histogram(table(spark, folder, "documents")))
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of every document under four-word shingles and a similarity of 0.85."""
+    return jaccard.classes(table(spark, folder, "documents"), width=4, percent=85)
+
+
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Known licenses in every document."""
     return licenses.scan(table(spark, folder, "documents"))
@@ -77,6 +82,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_source_mix": op4_source_mix,
