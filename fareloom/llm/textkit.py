@@ -24,8 +24,12 @@ MIX_C = np.uint64(0x165667B19E3779F9)
 
 
 def texts_of(column: pa.Array) -> pa.Array:
-    """Text column of a batch with nulls as empty texts, in 64-bit offsets."""
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    """Text column of a batch with nulls as empty texts.
+
+    The column keeps its type: a slice that is cast to another width of offsets starts with an offset above zero, which
+    Arrow's ``ascii_lower`` reads wrongly.
+    """
+    return pc.fill_null(column, "")
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
