@@ -7,13 +7,16 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, BinaryType, StringType
+from pyspark.sql.types import ArrayType, AtomicType, BinaryType, DataType, StringType, StructType
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more than one part in this many of all rows is split; so at most this many keys are.
-FAIR_SHARES = 1000
-# Counters of the heavy-hitter sketch: enough to find every key above its fair share.
-TRACKED_KEYS = 10 * FAIR_SHARES
+# A key with more rows than this is split into pieces of about so many.
+ROWS_PER_PIECE = 1_000_000
+# At most this many keys are split, so that the table of them stays small; beyond so many pieces of rows in all, pieces
+# grow with the data instead.
+SPLIT_KEYS = 5_000
+# Counters of the heavy-hitter sketch.
+TRACKED_KEYS = 10 * SPLIT_KEYS
 
 _HASH = "__key_hash"
 _PIECES = "__pieces"
@@ -35,44 +38,70 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def key_hash(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    """Hash of the key columns in the types a join of the two compares them in.
+def common_key(left: DataFrame, right: DataFrame, on: Sequence[str]) -> StructType:
+    """Key columns in the types a join of the two compares them in."""
+    return left.select(*on).limit(0).union(right.select(*on).limit(0)).schema
 
-    Spark hashes an int and a bigint of the same value differently, although they join.
+
+def byte_equal(kind: DataType) -> bool:
+    """Whether values that a join takes as equal have the same bytes, hence the same hash.
+
+    Not so for collated text, where ``HOT`` may equal ``hot``. Spark's hash treats -0.0 and 0.0 and all NaN alike.
     """
-    common = left.select(*on).limit(0).union(right.select(*on).limit(0)).schema
-    return F.xxhash64(*[F.col(field.name).cast(field.dataType) for field in common])
+    if isinstance(kind, StringType):
+        return kind == StringType()
+    if isinstance(kind, ArrayType):
+        return byte_equal(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(byte_equal(field.dataType) for field in kind)
+    return isinstance(kind, AtomicType)
+
 
+def key_hash(key: StructType) -> Column:
+    """Hash of the key columns in common types: Spark hashes an int and a bigint of one value differently."""
+    return F.xxhash64(*[F.col(field.name).cast(field.dataType) for field in key])
 
-def heavy_keys(df: DataFrame, key: Column) -> list[tuple[int, int]]:
-    """Hashes of keys above their fair share of rows, each with the number of pieces that restores it.
 
-    One pass over the key columns with a mergeable sketch of fixed size: no shuffle of keys, and at most
-    ``FAIR_SHARES`` results. The counts are estimates, which decide only how rows are spread, never which rows match.
+def heavy_keys(df: DataFrame, key: Column, rows_per_piece: int = ROWS_PER_PIECE) -> list[tuple[int, int]]:
+    """Hashes of keys with more than ``rows_per_piece`` rows, each with the number of pieces that restores it.
+
+    One pass over the key columns with a mergeable sketch of fixed size: no shuffle of keys, and at most ``SPLIT_KEYS``
+    results. The counts are estimates, which decide only how rows are spread, never which rows match.
     """
     found = (
         df.select(key.alias(_HASH))
         .agg(
             F.count("*").alias("rows"),
-            F.call_function("approx_top_k", F.col(_HASH), F.lit(FAIR_SHARES), F.lit(TRACKED_KEYS)).alias("top"),
+            F.call_function("approx_top_k", F.col(_HASH), F.lit(SPLIT_KEYS), F.lit(TRACKED_KEYS)).alias("top"),
         )
         .first()
     )
-    share = found["rows"] / FAIR_SHARES
+    share = max(rows_per_piece, found["rows"] / SPLIT_KEYS)
     return [(key.item, ceil(key["count"] / share)) for key in found["top"] or [] if key["count"] > share]
 
 
 def spread_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, spread_by: Sequence[str]
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str,
+    spread_by: Sequence[str],
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
-    """Shuffle join in which no reducer gets more than about a fair share of one key's facts.
+    """Shuffle join in which no reducer gets more than about ``rows_per_piece`` facts of one key.
 
     Facts of a heavy key are dealt out over its pieces, and the lookup rows of that key, and only those, are repeated
     once per piece, so that every pair meets exactly once. The piece is a hash of the fact row, never a random
     number: a task that runs again after an executor was lost places its rows as before.
+
+    Pieces go by a hash of the key, which must be the same wherever the join takes keys as equal. Keys without that
+    property (collated text) take the plain join, whose skew is left to adaptive execution.
     """
-    key = key_hash(facts, lookup, on)
-    heavy = heavy_keys(facts, key)
+    common = common_key(facts, lookup, on)
+    if not byte_equal(common):
+        return facts.join(lookup, list(on), how)
+    key = key_hash(common)
+    heavy = heavy_keys(facts, key, rows_per_piece)
     if not heavy:
         return facts.join(lookup, list(on), how)
     pieces = F.broadcast(facts.sparkSession.createDataFrame(heavy, f"{_HASH} long, {_PIECES} int"))
@@ -96,19 +125,23 @@ def attach(
     *,
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    lookup_bytes: int | None = None,
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Join facts to a lookup table on shared column names, with ``how`` inner or left.
 
-    A lookup measured within ``broadcast_bytes`` is broadcast, which leaves the facts where they are. A larger one
-    goes through ``spread_join``; ``spread_by`` names fact columns that tell rows of one key apart, by default all
-    columns outside the key.
+    A lookup within ``broadcast_bytes`` is broadcast, which leaves the facts where they are. Its size is
+    ``lookup_bytes`` where the caller knows it, and measured by a job of its own otherwise. A larger one goes through
+    ``spread_join``; ``spread_by`` names fact columns that tell rows of one key apart, by default all columns outside
+    the key.
     """
     if how not in ("inner", "left"):
         raise ValueError("a lookup is an inner or a left join")
-    if measured_bytes(lookup) <= broadcast_bytes:
+    size = measured_bytes(lookup) if lookup_bytes is None else lookup_bytes
+    if size <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), list(on), how)
     spread = list(spread_by or [name for name in facts.columns if name not in on])
-    return spread_join(facts, lookup, on, how, spread)
+    return spread_join(facts, lookup, on, how, spread, rows_per_piece)
 
 
 def attach_dimension(

@@ -1,3 +1,5 @@
+from decimal import Decimal as D
+
 import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
@@ -27,11 +29,48 @@ def test_measured_bytes_grow_with_text(spark):
 
 
 def test_heavy_keys_are_found_and_few(spark, skewed):
-    found = dict(heavy_keys(skewed, F.xxhash64("k")))
+    found = dict(heavy_keys(skewed, F.xxhash64("k"), 60))
     hot = spark.sql("SELECT xxhash64(1), xxhash64(CAST(NULL AS int))").first()
     assert set(found) == set(hot)
     assert 330 <= found[hot[0]] <= 340
     assert heavy_keys(skewed.limit(0), F.xxhash64("k")) == []
+    assert heavy_keys(skewed, F.xxhash64("k")) == [], "few rows in all: nothing needs splitting"
+
+
+def test_a_small_share_of_many_rows_is_split(spark):
+    """A key with 0.09 % of the rows, but more of them than a piece should have."""
+    keys = spark.range(100_000).select(F.when(F.col("id") < 90, -1).otherwise(F.col("id")).alias("k"))
+    hot = spark.sql("SELECT xxhash64(-1L)").first()[0]
+    assert [(key, pieces) for key, pieces in heavy_keys(keys, F.xxhash64("k"), 40) if key == hot] == [(hot, 3)]
+
+
+MIXED = [("HOT",)] * 3000 + [("hot",)] * 500 + [("Cold",)] * 5 + [(None,)] * 400
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize(
+    ("kind", "facts", "names"),
+    [
+        ("string collate UTF8_LCASE", MIXED, ["Hot", "COLD", "other", None]),
+        ("string", MIXED, ["HOT", "cold", None]),
+        ("decimal(10,2)", [(D("1.50"),)] * 3000 + [(D("2.00"),), (None,)], [D("1.5"), D("2"), None]),
+        ("double", [(0.0,)] * 1500 + [(-0.0,)] * 1500 + [(float("nan"),)] * 900 + [(2.5,)], [-0.0, float("nan"), 2.5]),
+        ("struct<a:string collate UTF8_LCASE>", [((x,),) for (x,) in MIXED], [("Hot",), ("COLD",), (None,)]),
+    ],
+)
+def test_spread_join_keeps_every_match(spark, how, kind, facts, names):
+    facts = spark.createDataFrame(facts, f"k {kind}").withColumn("id", F.monotonically_increasing_id())
+    lookup = spark.createDataFrame([(name, i) for i, name in enumerate(names)], f"k {kind}, n int")
+    plain, spread = facts.join(lookup, ["k"], how), spread_join(facts, lookup, ["k"], how, ["id"], 50)
+    assert sorted(map(tuple, spread.select("id", "n").collect()), key=str) == sorted(
+        map(tuple, plain.select("id", "n").collect()), key=str
+    )
+    assert plain.where("n = 0").count() > 2999
+
+
+def test_a_known_size_spares_the_measurement(spark, skewed):
+    lookup = spark.range(10).select(F.col("id").alias("k"), F.raise_error(F.lit("measured")).alias("name"))
+    assert attach(skewed, lookup, ["k"], lookup_bytes=1000).columns == ["k", "id", "name"]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -40,7 +79,7 @@ def test_spread_join_equals_plain_join(spark, skewed, how, key_type):
     lookup = spark.range(3000).select(F.col("id").cast(key_type).alias("k"), F.col("id").cast("string").alias("name"))
     lookup = lookup.union(spark.createDataFrame([(1, "twice"), (None, "never")], f"k {key_type}, name string"))
     wanted = skewed.join(F.broadcast(lookup), ["k"], how)
-    spread = spread_join(skewed, lookup, ["k"], how, ["id"])
+    spread = spread_join(skewed, lookup, ["k"], how, ["id"], 60)
     assert spread.columns == wanted.columns
     summary = [F.count("*"), F.sum(F.xxhash64("k", "id", "name").cast("decimal(38,0)")), F.count("name")]
     assert spread.agg(*summary).first() == wanted.agg(*summary).first()
@@ -52,7 +91,7 @@ def test_spread_join_splits_the_hot_key(spark, skewed):
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
         lookup = spark.range(5000).select(F.col("id").cast("int").alias("k"))
-        joined = spread_join(skewed, lookup, ["k"], "inner", ["id"])
+        joined = spread_join(skewed, lookup, ["k"], "inner", ["id"], 60)
         sizes = [row[1] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) < 2 * sum(sizes) / 16
     finally:
@@ -65,7 +104,7 @@ def test_attach_broadcasts_only_within_the_bound(spark, skewed, tmp_path):
     lookup = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("name"))
     facts = spark.range(10).select(F.col("id").cast("int").alias("k"), "id")
     assert "BroadcastHashJoin" in final_plan(attach(facts, lookup, ["k"]))
-    wide = attach(skewed, lookup, ["k"], broadcast_bytes=10)
+    wide = attach(skewed, lookup, ["k"], broadcast_bytes=10, rows_per_piece=60)
     logical = wide._jdf.queryExecution().analyzed().toString()
     assert "__salt" in logical
     with pytest.raises(ValueError):
