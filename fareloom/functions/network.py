@@ -13,8 +13,8 @@ from fareloom.functions.temporal import ColumnLike, as_column
 
 # Leading zeros of any number, then a value of at most 255. \A and \z anchor the whole text: $ would let a final
 # newline through.
-_OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-IPV4_PATTERN = rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"
+OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+IPV4_PATTERN = rf"\A{OCTET}(?:\.{OCTET}){{3}}\z"
 
 
 @cache

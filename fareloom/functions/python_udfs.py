@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from fareloom.functions.measures import MIN_MILES, MIN_SECONDS
-from fareloom.functions.network import foreign_digits
+from fareloom.functions.network import OCTET, foreign_digits
 
 
 def miles_per_minute_udf():
@@ -25,18 +25,16 @@ def miles_per_minute_udf():
 
 
 def is_ipv4_udf():
-    """``(text string) -> boolean``, null counting as false."""
-
+    """``(text string) -> boolean`` on whole Arrow batches, null counting as false."""
     foreign, plain = foreign_digits()
-    zeros = "0" + "".join(char for char, digit in zip(foreign, plain) if digit == "0")
-
-    def small(octet: str) -> bool:
-        # Leading zeros go first: int() refuses very long digit strings.
-        significant = octet.lstrip(zeros)
-        return octet.isdecimal() and len(significant) <= 3 and int(significant or "0") < 256
+    digits = str.maketrans(foreign, plain)
+    address = rf"{OCTET}(?:\.{OCTET}){{3}}"
 
-    def check(text: str | None) -> bool:
-        octets = text.split(".") if text is not None else []
-        return len(octets) == 4 and all(small(octet) for octet in octets)
+    def check(text: pd.Series) -> pd.Series:
+        text = text.astype(object)
+        ascii_only = text.str.fullmatch(r"[\x00-\x7F]*", na=True).astype(bool)
+        if not ascii_only.all():
+            text = text.where(ascii_only, text.str.translate(digits))
+        return text.str.fullmatch(address, na=False).astype(bool)
 
-    return F.udf(check, "boolean", useArrow=True)
+    return F.pandas_udf(check, "boolean")

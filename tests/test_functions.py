@@ -109,13 +109,13 @@ def test_flags_follow_the_cast(spark):
 
 
 ADDRESSES = {
-    "192.168.1.1": True,
-    "10.0.0.256": False,
-    "172.16.300.1": False,
-    "abc.def.ghi.jkl": False,
-    "255.255.255.255": True,
-    "0.0.0.0": True,
-    "123.045.067.089": True,
+    "8.8.4.4": True,
+    "203.0.113.255": True,
+    "203.0.113.256": False,
+    "224.1000.0.1": False,
+    "www.example.org": False,
+    "00.000.0.0": True,
+    "009.080.007.06": True,
     None: False,
     "": False,
     "1..1.1": False,
