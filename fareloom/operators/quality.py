@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -19,10 +19,12 @@ class Check:
 
 
 class QualityError(Exception):
-    """At least one blocking check counted a violation; ``failures`` maps check names to counts."""
+    """At least one blocking check counted a violation; ``failures`` maps check names to counts, ``rows`` is the
+    whole report."""
 
-    def __init__(self, failures: dict[str, int]):
+    def __init__(self, failures: dict[str, int], rows: Sequence[Row] = ()):
         self.failures = failures
+        self.rows = list(rows)
         listed = ", ".join(f"{name}: {count}" for name, count in failures.items())
         super().__init__(f"data quality checks failed ({listed})")
 
@@ -46,10 +48,25 @@ def quality_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
-def require_quality(df: DataFrame, checks: Sequence[Check]) -> list[Row]:
-    """Run the report and raise if a blocking check failed, naming all that did. Returns the report rows."""
-    rows = quality_report(df, checks).collect()
+def check_counts(checks: Sequence[Check]) -> list[Column]:
+    """Aggregates that count the violations of each check, for use in an observation of rows on their way elsewhere."""
+    return [F.count_if(F.expr(check.bad_when)).alias(f"check_{i}") for i, check in enumerate(checks)]
+
+
+def counted_checks(counts: Mapping[str, int], checks: Sequence[Check]) -> list[Row]:
+    """Report rows from the counts of ``check_counts``."""
+    named = Row("check_name", "violations", "blocking")
+    return [named(check.name, counts[f"check_{i}"], check.blocking) for i, check in enumerate(checks)]
+
+
+def pass_or_raise(rows: list[Row]) -> list[Row]:
+    """The report rows, or an error that names all blocking checks that failed."""
     failures = {row.check_name: row.violations for row in rows if row.blocking and row.violations}
     if failures:
-        raise QualityError(failures)
+        raise QualityError(failures, rows)
     return rows
+
+
+def require_quality(df: DataFrame, checks: Sequence[Check]) -> list[Row]:
+    """Run the report and raise if a blocking check failed, naming all that did. Returns the report rows."""
+    return pass_or_raise(quality_report(df, checks).collect())

@@ -10,21 +10,22 @@ import argparse
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.operators.contracts import SchemaFinding, findings_by_kind, schema_findings
-from fareloom.operators.quality import require_quality
+from fareloom.operators.contracts import SchemaFinding, schema_findings
+from fareloom.operators.quality import check_counts, counted_checks, pass_or_raise
 from fareloom.plans.dialects import DIALECTS, Dialect
 from fareloom.plans.fact_bookings import FACT_CHECKS, fact_bookings
 from fareloom.plans.tables import FACT_BOOKINGS
 from fareloom.session import open_session
 from fareloom.sources.periods import Period, period_scan
-from fareloom.sources.publishing import DAY_PARTITIONS, balanced, publish, stage, staged_table
+from fareloom.sources.publishing import DAY_PARTITIONS, balanced, publish, require_apart, stage, staged_table
 
 logger = logging.getLogger(__name__)
 
 _BOOKING_DAY = "__booking_day"
+_LEVELS = {"error": logging.ERROR, "data": logging.WARNING, "info": logging.INFO}
 
 # Optional cap on rows per written file. 0 leaves file sizes to the rebalanced write, which suits large months; a month
 # of a small table is usually written with 200000.
@@ -35,9 +36,16 @@ class ContractError(Exception):
     """The built table lacks a contract column or has it with another type."""
 
 
+class StrayRowsError(Exception):
+    """The month's files hold rows of other days and there is no path to keep them in."""
+
+
 @dataclass(frozen=True)
 class JobPaths:
-    """Base paths: raw bookings and rates by month, the staging area, the fact table, and rows of other months."""
+    """Base paths: raw bookings and rates by month, the staging area, the fact table, and rows of other months.
+
+    No two of them may be equal or nested: the job overwrites below some of them.
+    """
 
     bookings: str
     rates: str
@@ -45,6 +53,27 @@ class JobPaths:
     facts: str
     rejects: str | None = None
 
+    def __post_init__(self) -> None:
+        require_apart({name: path for name, path in vars(self).items() if path})
+
+    def staging_of(self, dialect: Dialect, period: Period) -> str:
+        """Each month of each dialect is staged apart, so that runs side by side do not meet."""
+        return f"{self.staging.rstrip('/')}/{dialect.name}/{period}"
+
+    def rejects_of(self, dialect: Dialect, period: Period) -> str | None:
+        return self.rejects and f"{self.rejects.rstrip('/')}/dialect={dialect.name}/period={period}"
+
+
+@dataclass(frozen=True)
+class StagedMonth:
+    """A month in staging, with what was counted on the way there."""
+
+    path: str
+    table: DataFrame
+    findings: list[SchemaFinding]
+    checks: list[Row]
+    stray_rows: int
+
 
 @dataclass(frozen=True)
 class JobResult:
@@ -59,8 +88,8 @@ def transform(
     dialect: Dialect,
     paths: JobPaths,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
-) -> tuple[DataFrame, list[SchemaFinding]]:
-    """Build one month, write it to staging and return the staged table and the schema findings.
+) -> StagedMonth:
+    """Build one month and write it to staging, counting checks and stray rows in the same pass.
 
     The one shuffle, which groups rows by day for the write, moves the raw columns rather than the nearly twice as many
     fact columns; building the facts and joining the rates leave rows where they are.
@@ -69,39 +98,48 @@ def transform(
     by_day = balanced(raw.withColumn(_BOOKING_DAY, F.to_date(dialect.requested)), [_BOOKING_DAY])
     facts = fact_bookings(by_day, period_scan(spark, paths.rates, period), dialect)
     findings = schema_findings(facts.schema, FACT_BOOKINGS)
-    for kind, found in findings_by_kind(findings).items():
-        if found:
-            logger.info("%s: %s", kind, found)
+    for finding in findings:
+        logger.log(_LEVELS[finding.severity], "contract: %s", finding)
     errors = [finding for finding in findings if finding.severity == "error"]
     if errors:
         raise ContractError(f"built table does not fit its contract: {errors}")
-    stage(facts, paths.staging, DAY_PARTITIONS, max_records_per_file, balance=False)
-    return staged_table(spark, paths.staging, FACT_BOOKINGS), findings
+    path, counts = paths.staging_of(dialect, period), Observation()
+    # A row without a booking day belongs to no period.
+    stray = F.count_if(~F.coalesce(period.contains(), F.lit(False))).alias("stray_rows")
+    stage(facts.observe(counts, stray, *check_counts(FACT_CHECKS)), path, DAY_PARTITIONS, max_records_per_file, balance=False)
+    found = counts.get
+    return StagedMonth(
+        path,
+        staged_table(spark, path, FACT_BOOKINGS),
+        findings,
+        counted_checks(found, FACT_CHECKS),
+        found["stray_rows"],
+    )
 
 
 def load(
     spark: SparkSession,
-    staged: DataFrame,
+    staged: StagedMonth,
     period: Period,
+    dialect: Dialect,
     paths: JobPaths,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
 ) -> tuple[list[Row], int]:
     """Publish the month if no blocking check fails; otherwise raise and leave the fact table as it is.
 
     Rows that belong to other months (a month's raw files can hold some) never replace published days. They are
-    counted, and written to the rejects path if there is one.
+    written to the rejects path first; without one the load raises, so that no row is lost unseen.
     """
-    checks = require_quality(staged, FACT_CHECKS)
-    strays = staged.where(~period.contains())
-    stray_rows = strays.count()
-    if stray_rows:
-        logger.warning("%d staged rows are outside %s and are not published", stray_rows, period)
-        if paths.rejects:
-            strays.write.mode("overwrite").parquet(f"{paths.rejects.rstrip('/')}/period={period}")
-    publish(
-        spark, paths.staging, paths.facts, FACT_BOOKINGS, DAY_PARTITIONS, period, max_records_per_file
-    )
-    return checks, stray_rows
+    checks = pass_or_raise(staged.checks)
+    if staged.stray_rows:
+        rejects = paths.rejects_of(dialect, period)
+        if not rejects:
+            raise StrayRowsError(f"{staged.stray_rows} rows are outside {period}: give a rejects path to keep them in")
+        logger.warning("%d staged rows are outside %s and go to %s", staged.stray_rows, period, rejects)
+        inside = F.coalesce(period.contains(), F.lit(False))
+        staged.table.where(~inside).write.mode("overwrite").parquet(rejects)
+    publish(spark, staged.path, paths.facts, FACT_BOOKINGS, DAY_PARTITIONS, period, max_records_per_file)
+    return checks, staged.stray_rows
 
 
 def run(
@@ -113,10 +151,10 @@ def run(
 ) -> JobResult:
     """Transform and load one month. Every failure is raised."""
     period = Period.parse(date_str)
-    staged, findings = transform(spark, period, dialect, paths, max_records_per_file)
-    checks, stray_rows = load(spark, staged, period, paths, max_records_per_file)
+    staged = transform(spark, period, dialect, paths, max_records_per_file)
+    checks, stray_rows = load(spark, staged, period, dialect, paths, max_records_per_file)
     logger.info("published %s", period)
-    return JobResult(checks, findings, stray_rows)
+    return JobResult(checks, staged.findings, stray_rows)
 
 
 def main(arguments: list[str] | None = None) -> None:

@@ -264,3 +264,25 @@ def bookings_by_platform(facts: DataFrame, platforms: DataFrame, year: str, mont
     """Bookings of one day by platform name; the day is a partition filter."""
     rows = facts.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
     return counts_by_label(rows, platforms, PLATFORM_NAME)
+
+
+def bookings_by_platform_sql(
+    spark: SparkSession, facts: DataFrame, platforms: DataFrame, year: str, month: str, day: str
+) -> DataFrame:
+    return sql_table(
+        spark,
+        """
+        WITH of_day AS (
+          SELECT platform_key, count(1) AS rows FROM {facts}
+          WHERE year = {year} AND month = {month} AND day = {day} GROUP BY platform_key
+        )
+        SELECT p.platform_name, sum(d.rows) AS bookings
+        FROM of_day d LEFT JOIN {platforms} p ON d.platform_key = p.platform_key
+        GROUP BY p.platform_name
+        """,
+        facts=facts,
+        platforms=platforms,
+        year=year,
+        month=month,
+        day=day,
+    )

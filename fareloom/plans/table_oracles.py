@@ -52,6 +52,14 @@ trips AS (
   FROM parts
 )"""
 
+_JOB_HVFHV_TRIPS = (
+    _HVFHV_TRIPS.replace("l_extendedprice * l_discount AS tolls", "l_extendedprice * l_discount / 100 AS tolls")
+    .replace("l_extendedprice * l_tax AS sales_tax", "l_extendedprice * l_tax / 100 AS sales_tax")
+    .replace("l_extendedprice AS base_passenger_fare", "l_extendedprice / 100 AS base_passenger_fare")
+    .replace("l_extendedprice + tolls", "l_extendedprice / 100 + tolls")
+    .replace("l_shipdate AS dropoff,", "greatest(l_shipdate, pickup) AS dropoff,")
+)
+
 _RATES = """
 rates AS (
   SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_day,
@@ -161,11 +169,12 @@ addresses AS (
   SELECT doc_id, pos, 1, '9' || token FROM tokens
   UNION ALL
   SELECT -1, pos, 0, ip_address
-  FROM (VALUES (0, '192.168.1.1'), (1, '10.0.0.256'), (2, '172.16.300.1'), (3, 'abc.def.ghi.jkl'),
-               (4, '255.255.255.255'), (5, '0.0.0.0'), (6, '123.045.067.089')) AS samples(pos, ip_address)
+  FROM (VALUES (0, '8.8.4.4'), (1, '203.0.113.255'), (2, '203.0.113.256'), (3, '0000000000.0.0.07'),
+               (4, '\u0661\u0662.3.4.5'), (5, '7.7.7.7.'), (6, '7..7.7'), (7, '172.31.0.1' || chr(10)),
+               (8, 'host.example.org')) AS samples(pos, ip_address)
 ),
 checked AS (
-  SELECT *, coalesce(regexp_full_match(ip_address,
+  SELECT *, coalesce(regexp_full_match(translate(ip_address, '\u0660\u0661\u0662', '012'),
     '0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})([.]0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}'), false
   ) AS is_valid
   FROM addresses
@@ -212,6 +221,15 @@ def _contract_oracle() -> str:
     return f"WITH {_facts(trips)}\n" + "\nUNION ALL\n".join(rows)
 
 
+_PLATFORM_DAY = f"""
+WITH {_facts(_JOB_HVFHV_TRIPS)}
+SELECT platform_name, count(*) AS bookings
+FROM facts LEFT JOIN (VALUES ('HV0001', 'first'), ('HV0002', 'second'), ('HV0004', 'fourth'))
+  AS platforms(platform_key, platform_name) USING (platform_key)
+WHERE year = '1997' AND month = '06' AND day = '17'
+GROUP BY platform_name
+"""
+
 _MONTH = "strftime(o_orderdate, '%Y-%m') = '1997-06'"
 
 _CSV_COLUMNS = "c_custkey AS {0}, c_name || ', \"' || c_mktsegment || '\"' AS {1}, c_acctbal AS {2}"
@@ -257,6 +275,12 @@ ORACLES: dict[str, str] = {
         """,
     "dimension_lookup": _LOOKUP,
     "dimension_lookup_shuffled": _LOOKUP,
+    "dimension_lookup_text_key": """
+        SELECT c_custkey, lower(c_mktsegment) AS segment,
+               CASE upper(c_mktsegment) WHEN 'BUILDING' THEN 'Ada' WHEN 'MACHINERY' THEN 'Ben'
+                                        WHEN 'AUTOMOBILE' THEN 'Cyd' WHEN 'FURNITURE' THEN 'Dov' END AS manager
+        FROM customer
+        """,
     "fx_enrich": _FX,
     "fx_enrich_two_joins": _FX,
     "fact_green": f"WITH {_facts(_GREEN_TRIPS)} SELECT * FROM facts",
@@ -286,6 +310,8 @@ ORACLES: dict[str, str] = {
         FROM published GROUP BY 1, 2
         """,
     "csv_dim_scan": f"SELECT {_CSV_COLUMNS.format('c_custkey', 'label', 'c_acctbal')} FROM customer",
+    "csv_inferred_scan": f"SELECT CAST(c_custkey AS INTEGER) AS c_custkey, "
+    f"{_CSV_COLUMNS.format('other', 'label', 'c_acctbal').split(', ', 1)[1]} FROM customer",
     "csv_table_listing": f"SELECT {_CSV_COLUMNS.format('customer_id', 'customer_label', 'balance')} FROM customer",
     "catalog_partition_query": f"""
         SELECT o_orderkey, o_orderstatus, o_totalprice AS amount, '1997' AS year, '06' AS month
@@ -299,4 +325,26 @@ ORACLES: dict[str, str] = {
     "monthly_fact_job": f"""
         WITH {_facts(_JOB_TRIPS)} SELECT * FROM facts WHERE year = '1997' AND month = '06'
         """,
+    "monthly_fact_job_hvfhv": f"""
+        WITH {_facts(_JOB_HVFHV_TRIPS)} SELECT * FROM facts WHERE year = '1997' AND month IN ('05', '06') AND day <> '01'
+        """,
+    "monthly_job_rejects": f"""
+        WITH {_facts(_JOB_HVFHV_TRIPS)} SELECT * FROM facts WHERE year = '1997' AND month IN ('06', '07') AND day = '01'
+        """,
+    "bookings_by_platform_day": _PLATFORM_DAY,
+    "bookings_by_platform_day_sql": _PLATFORM_DAY,
+    "quality_gate_report": f"""
+        WITH {_facts(_JOB_TRIPS)},
+        kept AS (SELECT year, month, count(*) AS published_rows FROM facts
+                 WHERE year = '1997' AND month = '05' GROUP BY 1, 2)
+        SELECT kept.*, 'null_check' AS check_name, 0 AS violations FROM kept
+        UNION ALL
+        SELECT kept.*, 'large_values_check',
+               (SELECT count(*) FROM facts WHERE year = '1997' AND month = '06' AND base_passenger_fare > 10000) FROM kept
+        UNION ALL
+        SELECT kept.*, 'date_consistency_check', 0 FROM kept
+        """,
+    "staged_partition_listing": """
+        SELECT DISTINCT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month FROM orders
+        """,
 }

@@ -27,7 +27,7 @@ from fareloom.functions.temporal import (
 )
 from fareloom.operators.contracts import contract_report
 from fareloom.operators.lookups import attach_dimension
-from fareloom.operators.quality import Check, quality_report, require_quality
+from fareloom.operators.quality import Check, QualityError, quality_report, require_quality
 from fareloom.operators.rates import attach_rates
 from fareloom.operators.topgroups import top_groups
 from fareloom.plans import monthly_job
@@ -39,23 +39,26 @@ from fareloom.plans.tables import FACT_BOOKINGS
 from fareloom.session import discard_at_exit, materialise, scratch_path
 from fareloom.sources import catalog
 from fareloom.sources.periods import Period, period_scan
-from fareloom.sources.publishing import compact_export, publish, stage, staged_table
+from fareloom.sources.publishing import compact_export, publish, stage, staged_partitions, staged_table
 from fareloom.sources.tables import csv_table, parquet_table, rows_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PERIOD = Period.parse("1997-06")
+EARLIER_PERIOD = Period.parse("1997-05")
 MONTH_PARTITIONS = ("year", "month")
 
-# Sample addresses with both answers among them.
+# Addresses with both answers among them: leading zeros, digits of another script, stray dots, a final newline.
 IP_SAMPLES = [
-    "192.168.1.1",
-    "10.0.0.256",
-    "172.16.300.1",
-    "abc.def.ghi.jkl",
-    "255.255.255.255",
-    "0.0.0.0",
-    "123.045.067.089",
+    "8.8.4.4",
+    "203.0.113.255",
+    "203.0.113.256",
+    "0000000000.0.0.07",
+    "\u0661\u0662.3.4.5",
+    "7.7.7.7.",
+    "7..7.7",
+    "172.31.0.1\n",
+    "host.example.org",
 ]
 
 
@@ -389,6 +392,28 @@ def dimension_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dimension_lookup_text_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers per segment and manager through a large lookup whose text key ignores case, as the facts' key does."""
+    any_case = F.collate(F.lower("c_mktsegment"), "UTF8_LCASE")
+    customers = _table(spark, folder, "customer").select("c_custkey", any_case.alias("segment"))
+    managers = rows_table(
+        spark,
+        [("BUILDING", "Ada"), ("Machinery", "Ben"), ("AUTOMOBILE", "Cyd"), ("FURNITURE", "Dov")],
+        "name string, manager string",
+    ).select(F.collate("name", "UTF8_LCASE").alias("name"), "manager")
+    joined = attach_dimension(
+        customers,
+        managers,
+        fact_key="segment",
+        dimension_key="name",
+        attributes=["manager"],
+        how="left",
+        broadcast_bytes=-1,
+        rows_per_piece=10,
+    )
+    return joined.select("c_custkey", F.collate("segment", "UTF8_BINARY").alias("segment"), "manager")
+
+
 def _priced_orders(spark: SparkSession, folder: str, **options) -> DataFrame:
     orders = _table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     priced = attach_rates(
@@ -514,6 +539,11 @@ def _new_table_name(path: str) -> str:
     return "fareloom_" + path.rsplit("-", 1)[-1]
 
 
+def csv_inferred_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same file with types found by an extra pass over it."""
+    return csv_table(spark, _customer_file(spark, folder))
+
+
 def csv_table_listing(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of an external CSV table whose columns are named differently from the file's header."""
     path = _customer_file(spark, folder)
@@ -551,25 +581,116 @@ def single_file_export(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, path, totals.schema)
 
 
-def monthly_fact_job(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole job for one month over raw trips and rates stored by month; the published rows."""
+def staged_partition_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The months that staging holds, from directory names alone."""
+    path = _staged_orders(spark, folder, "orders-listed")
+    return staged_partitions(staged_table(spark, path, _dated_orders(spark, folder).schema), MONTH_PARTITIONS)
+
+
+def _lake(spark: SparkSession, folder: str, trips: DataFrame, month_of: Column) -> monthly_job.JobPaths:
+    """Raw trips and rates stored by month, and empty places for the rest."""
     base = scratch_path(spark, "lake")
-    paths = monthly_job.JobPaths(*[f"{base}/{name}" for name in ("bookings", "rates", "staging", "facts")])
-    month = {name: column for name, column in partition_values("lpep_pickup_datetime").items() if name != "day"}
-    trips = (
+    paths = monthly_job.JobPaths(*[f"{base}/{n}" for n in ("bookings", "rates", "staging", "facts", "rejects")])
+
+    def by_month(day: Column) -> dict[str, Column]:
+        return {name: column for name, column in partition_values(day).items() if name != "day"}
+
+    stage(trips.withColumns(by_month(month_of)), paths.bookings, MONTH_PARTITIONS)
+    rates = order_day_rates(spark, folder)
+    rate_day = F.col("exchange_rate_date").cast("date")
+    # Rates of a day are kept with the trips of that day's file, which may be the file of the month before.
+    rates = rates.unionByName(rates.withColumn("file_day", F.date_sub(rate_day, 1)), allowMissingColumns=True)
+    rates = rates.withColumn("file_day", F.coalesce("file_day", rate_day)).withColumns(by_month(F.col("file_day")))
+    stage(rates.drop("file_day").distinct(), paths.rates, MONTH_PARTITIONS)
+    discard_at_exit(spark, base)
+    return paths
+
+
+def _job_green_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips that pass the checks: no negative durations and small totals."""
+    return (
         green_trips(spark, folder)
         .withColumn("total_amount", F.col("fare_amount") * F.col("tip_amount"))
         .withColumn("lpep_dropoff_datetime", F.greatest("lpep_dropoff_datetime", "lpep_pickup_datetime"))
     )
-    stage(trips.withColumns(month), paths.bookings, MONTH_PARTITIONS)
-    rate_day = F.col("exchange_rate_date").cast("date")
-    rate_month = {name: column for name, column in partition_values(rate_day).items() if name != "day"}
-    stage(order_day_rates(spark, folder).withColumns(rate_month), paths.rates, MONTH_PARTITIONS)
-    discard_at_exit(spark, base)
+
+
+def _job_hvfhv_trips(spark: SparkSession, folder: str) -> DataFrame:
+    return (
+        hvfhv_trips(spark, folder)
+        .withColumns({part: F.col(part) / 100 for part in ("base_passenger_fare", "tolls", "sales_tax")})
+        .withColumn("dropoff_datetime", F.greatest("dropoff_datetime", "pickup_datetime"))
+    )
+
+
+def monthly_fact_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job for one month over raw trips and rates stored by month; the published rows."""
+    paths = _lake(spark, folder, _job_green_trips(spark, folder), F.col("lpep_pickup_datetime"))
     monthly_job.run(spark, str(PERIOD), GREEN, paths)
     return _plain_times(staged_table(spark, paths.facts, FACT_BOOKINGS))
 
 
+def _hvfhv_months(spark: SparkSession, folder: str) -> monthly_job.JobPaths:
+    """Two months published one after the other. Each month's file begins on its second day and ends with the first
+    day of the next month, whose rows are strays there."""
+    file_day = F.date_sub(F.to_date("request_datetime"), 1)
+    paths = _lake(spark, folder, _job_hvfhv_trips(spark, folder), file_day)
+    for month in (EARLIER_PERIOD, PERIOD):
+        monthly_job.run(spark, str(month), HVFHV, paths)
+    return paths
+
+
+def monthly_fact_job_hvfhv(spark: SparkSession, folder: str) -> DataFrame:
+    """The job in the other dialect, with an earlier month already published and strays in the files."""
+    return _plain_times(staged_table(spark, _hvfhv_months(spark, folder).facts, FACT_BOOKINGS))
+
+
+def monthly_job_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The stray rows of both months, kept for later."""
+    paths = _hvfhv_months(spark, folder)
+    found = [staged_table(spark, paths.rejects_of(HVFHV, month), FACT_BOOKINGS) for month in (EARLIER_PERIOD, PERIOD)]
+    return _plain_times(found[0].unionByName(found[1]))
+
+
+DAY = ("1997", "06", "17")
+
+
+def _platforms(spark: SparkSession) -> DataFrame:
+    """Names of some platforms; the others are reported under a null name."""
+    return rows_table(
+        spark, [("HV0001", "first"), ("HV0002", "second"), ("HV0004", "fourth")], "platform_key string, platform_name string"
+    )
+
+
+def bookings_by_platform_day(spark: SparkSession, folder: str) -> DataFrame:
+    facts = staged_table(spark, _hvfhv_months(spark, folder).facts, FACT_BOOKINGS)
+    return reports.bookings_by_platform(facts, _platforms(spark), *DAY)
+
+
+def bookings_by_platform_day_sql(spark: SparkSession, folder: str) -> DataFrame:
+    facts = staged_table(spark, _hvfhv_months(spark, folder).facts, FACT_BOOKINGS)
+    return reports.bookings_by_platform_sql(spark, facts, _platforms(spark), *DAY)
+
+
+def quality_gate_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A month that fails its checks after another was published: what the gate found, and the published rows after."""
+    day = F.col("lpep_pickup_datetime")
+    bad = F.date_format(day, "yyyy-MM") == str(PERIOD)
+    trips = _job_green_trips(spark, folder).withColumn(
+        "total_amount", F.when(bad, F.col("fare_amount")).otherwise(F.col("total_amount"))
+    )
+    paths = _lake(spark, folder, trips, day)
+    monthly_job.run(spark, str(EARLIER_PERIOD), GREEN, paths)
+    try:
+        monthly_job.run(spark, str(PERIOD), GREEN, paths)
+        report = []
+    except QualityError as error:
+        report = [(row.check_name, row.violations) for row in error.rows if row.blocking]
+    found = [F.struct(F.lit(name).alias("check_name"), F.lit(n).cast("long").alias("violations")) for name, n in report]
+    kept = staged_table(spark, paths.facts, FACT_BOOKINGS).groupBy("year", "month").agg(F.count("*").alias("published_rows"))
+    return kept.select("year", "month", "published_rows", F.inline(F.array(*found)))
+
+
 QUERIES: dict[str, Query] = {
     "revenue_by_region": revenue_by_region,
     "revenue_by_region_sql": revenue_by_region_sql,
@@ -590,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "ip_validity_counts": ip_validity_counts,
     "dimension_lookup": dimension_lookup,
     "dimension_lookup_shuffled": dimension_lookup_shuffled,
+    "dimension_lookup_text_key": dimension_lookup_text_key,
     "fx_enrich": fx_enrich,
     "fx_enrich_two_joins": fx_enrich_two_joins,
     "fact_green": fact_green,
@@ -599,8 +721,15 @@ QUERIES: dict[str, Query] = {
     "period_scan": period_rows,
     "partition_publish": partition_publish,
     "csv_dim_scan": csv_dim_scan,
+    "csv_inferred_scan": csv_inferred_scan,
     "csv_table_listing": csv_table_listing,
     "catalog_partition_query": catalog_partition_query,
     "single_file_export": single_file_export,
     "monthly_fact_job": monthly_fact_job,
+    "monthly_fact_job_hvfhv": monthly_fact_job_hvfhv,
+    "monthly_job_rejects": monthly_job_rejects,
+    "bookings_by_platform_day": bookings_by_platform_day,
+    "bookings_by_platform_day_sql": bookings_by_platform_day_sql,
+    "quality_gate_report": quality_gate_report,
+    "staged_partition_listing": staged_partition_listing,
 }

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+logger = logging.getLogger(__name__)
+
 # Runtime settings the plans are written for. All are ordinary Spark options; a session built elsewhere works too,
 # because no result depends on them except through the time zone of zoned timestamps.
 RUNTIME_OPTIONS = {
@@ -31,27 +38,61 @@ def open_session(app_name: str, master: str | None = None, **options: str) -> Sp
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """New, unused path for an intermediate table.
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables; one per application.
 
     It lies below ``spark.checkpoint.dir``, the folder all executors share. A machine-local folder is taken only in
-    local mode with that setting absent.
+    local mode with that setting absent. Tables in it go when the application ends normally; after a crash the caller
+    can remove the folder as a whole.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="fareloom-")
-    app = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/fareloom-{app}/{label}-{uuid.uuid4().hex[:12]}"
+        base = _local_base()
+    return f"{base.rstrip('/')}/fareloom-{spark.conf.get('spark.app.id')}"
+
+
+@cache
+def _local_base() -> str:
+    base = tempfile.mkdtemp(prefix="fareloom-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """New, unused path for an intermediate table below ``scratch_root``."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def discard_at_exit(spark: SparkSession, path: str) -> None:
-    """Let Hadoop remove an existing scratch path when the application ends."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Let Hadoop remove an existing scratch path when the application ends.
+
+    Only a session with its own JVM can ask for that; elsewhere the path stays until ``scratch_root`` is removed.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        logger.warning("%s stays: this session has no JVM to remove it at exit", path)
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        return bool(system.exists(target)) and (not system.isDirectory(target) or len(system.listStatus(target)) > 0)
+    try:
+        return not spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to shared scratch and read it back.
 

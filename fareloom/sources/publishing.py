@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import posixpath
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from fareloom.session import has_files
 from fareloom.sources.periods import Period
 
 DAY_PARTITIONS = ("year", "month", "day")
@@ -23,6 +26,43 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by) if adaptive else df
 
 
+def _parts(path: str) -> tuple[str, list[str]]:
+    """(scheme and authority, folder names) of a path in normal form; an absent scheme is empty."""
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(.*)", path)
+    scheme, authority, rest = found.groups() if found else ("", "", path)
+    normal = posixpath.normpath("/" + rest)
+    return f"{scheme.lower()}://{authority or ''}" if scheme else "", [part for part in normal.split("/") if part]
+
+
+def require_apart(paths: Mapping[str, str]) -> None:
+    """Raise unless no path equals or lies within another.
+
+    Paths are compared in normal form: doubled and trailing slashes, ``.`` and ``..`` do not hide an overlap. A path
+    without a scheme may be in any store, so it is compared with all.
+    """
+    known = {name: _parts(path) for name, path in paths.items()}
+    names = list(known)
+    for i, one in enumerate(names):
+        for other in names[i + 1 :]:
+            (store, folders), (other_store, other_folders) = known[one], known[other]
+            shorter = min(len(folders), len(other_folders))
+            if (not store or not other_store or store == other_store) and (
+                folders[:shorter] == other_folders[:shorter]
+            ):
+                raise ValueError(f"the paths of {one} and {other} must not be equal or nested")
+
+
+# Readers skip names that start with an underscore.
+STAGING_MARK = "_staged_here"
+
+
+def require_staging_area(spark: SparkSession, path: str) -> None:
+    """Raise if ``path`` holds files that ``stage`` has not written: overwriting it would destroy other data."""
+    path = path.rstrip("/")
+    if not has_files(spark, f"{path}/{STAGING_MARK}") and has_files(spark, path):
+        raise ValueError(f"{path} holds data and is no staging area; it is left as it is")
+
+
 def stage(
     df: DataFrame,
     path: str,
@@ -30,15 +70,19 @@ def stage(
     max_records_per_file: int = 0,
     balance: bool = True,
 ) -> None:
-    """Overwrite ``path`` with ``df``, one directory per partition value.
+    """Overwrite the staging area ``path`` with ``df``, one directory per partition value.
 
-    Rows are balanced by partition value first, unless the caller has done so on narrower rows.
+    A path with files of any other origin is refused before anything is written. Rows are balanced by partition value
+    first, unless the caller has done so on narrower rows.
     """
+    require_staging_area(df.sparkSession, path)
     rows = balanced(df, partition_by) if balance else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
+    mark = df.sparkSession.range(1).selectExpr("'fareloom' AS value").coalesce(1)
+    mark.write.mode("overwrite").text(f"{path.rstrip('/')}/{STAGING_MARK}")
 
 
 def staged_table(spark: SparkSession, path: str, contract: StructType) -> DataFrame:
@@ -67,8 +111,7 @@ def publish(
     map-only copy done by the executors, without a shuffle. A run that fails before its commit leaves the main
     path's partitions untouched, and running it again gives the same result.
     """
-    if staging_path.rstrip("/") == main_path.rstrip("/"):
-        raise ValueError("staging and main path must differ")
+    require_apart({"staging": staging_path, "main": main_path})
     rows = staged_table(spark, staging_path, contract)
     if period:
         rows = rows.where(period.contains())

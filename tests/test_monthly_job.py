@@ -1,5 +1,6 @@
 import os
 import sys
+from dataclasses import replace
 
 import pytest
 from conftest import final_plan, rows
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from fareloom.operators.quality import QualityError
 from fareloom.plans import monthly_job
 from fareloom.plans.dialects import GREEN
-from fareloom.plans.reports import bookings_by_platform
+from fareloom.plans.reports import bookings_by_platform, bookings_by_platform_sql
 from fareloom.plans.tables import FACT_BOOKINGS
 from fareloom.sources.publishing import staged_table
 
@@ -74,7 +75,7 @@ def test_stray_days_do_not_replace_other_months(spark, make_trips, make_rates, l
     assert result.stray_rows == 1
     assert published(spark, lake)[0] == ("05", "31", 99.0, 49.5)
     assert len(published(spark, lake)) == 3
-    rejected = spark.read.parquet(f"{lake.rejects}/period=2024-06")
+    rejected = spark.read.parquet(f"{lake.rejects}/dialect=green/period=2024-06")
     assert [row.total_fare for row in rejected.collect()] == [10.0]
 
 
@@ -104,6 +105,65 @@ def test_duplicate_rates_stop_the_job(spark, make_trips, make_rates, lake):
     assert not os.path.exists(lake.facts)
 
 
+def test_strays_without_a_place_for_them_stop_the_job(spark, make_trips, lake):
+    lake = replace(lake, rejects=None)
+    put(make_trips, lake, [*GOOD, ("2024-05-31 23:50:00", "2024-06-01 00:10:00", 5.0, 10.0)])
+    with pytest.raises(monthly_job.StrayRowsError, match="1 rows are outside 2024-06"):
+        monthly_job.run(spark, "2024-06", GREEN, lake)
+    assert not os.path.exists(lake.facts)
+
+
+def files_below(path):
+    return sorted((str(p.relative_to(path)), p.stat().st_mtime_ns) for p in path.rglob("*") if p.is_file())
+
+
+@pytest.mark.parametrize("first", range(5))
+@pytest.mark.parametrize("spelling", ["{}", "{}/", "{}//", "file:{}", "file://{}/.", "{}/inner", "{}/../{name}"])
+def test_equal_or_nested_paths_change_nothing(spark, make_trips, lake, tmp_path, first, spelling):
+    put(make_trips, lake, GOOD)
+    before = files_below(tmp_path)
+    names = ["bookings", "rates", "staging", "facts", "rejects"]
+    one, other = names[first], names[(first + 2) % 5]
+    path = getattr(lake, one)
+    with pytest.raises(ValueError, match="equal or nested"):
+        broken = replace(lake, **{other: spelling.format(path, name=os.path.basename(path))})
+        monthly_job.run(spark, "2024-06", GREEN, broken)
+    assert files_below(tmp_path) == before
+
+
+def test_staging_refuses_data_of_other_origin(spark, make_trips, lake):
+    put(make_trips, lake, GOOD)
+    taken = lake.staging_of(GREEN, monthly_job.Period.parse("2024-06"))
+    spark.range(3).write.parquet(taken)
+    with pytest.raises(ValueError, match="no staging area"):
+        monthly_job.run(spark, "2024-06", GREEN, lake)
+    assert spark.read.parquet(taken).count() == 3
+
+
+def test_months_staged_side_by_side_do_not_meet(spark, make_trips, make_rates, lake):
+    make_rates([("USD", "GBP", "2024-05-31", 0.5)]).write.parquet(f"{lake.rates}/year=2024/month=05")
+    put(make_trips, lake, [("2024-05-31 09:00:00", "2024-05-31 09:30:00", 5.0, 99.0)], month="05")
+    put(make_trips, lake, GOOD)
+    periods = [monthly_job.Period.parse(text) for text in ("2024-05", "2024-06")]
+    staged = [monthly_job.transform(spark, period, GREEN, lake) for period in periods]
+    for month, period in zip(reversed(staged), reversed(periods)):
+        monthly_job.load(spark, month, period, GREEN, lake)
+    assert [row[:2] for row in published(spark, lake)] == [("05", "31"), ("06", "01"), ("06", "02")]
+
+
+def test_checks_are_counted_while_staging(spark, make_trips, lake):
+    """The month is read raw once and staging once, for the copy: no scan for the checks."""
+    put(make_trips, lake, GOOD)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counting", "jobs of one load")
+    staged = monthly_job.transform(spark, monthly_job.Period.parse("2024-06"), GREEN, lake)
+    assert {row.check_name: row.violations for row in staged.checks}["null_check"] == 0
+    before = len(tracker.getJobIdsForGroup("counting"))
+    monthly_job.load(spark, staged, monthly_job.Period.parse("2024-06"), GREEN, lake)
+    assert len(tracker.getJobIdsForGroup("counting")) - before <= 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_wrong_dialect_or_month_fails(spark, make_trips, lake):
     put(make_trips, lake, GOOD)
     with pytest.raises(Exception, match="hvfhs_license_num"):
@@ -141,11 +201,11 @@ def test_a_hot_day_is_written_by_several_tasks(spark, make_trips, lake):
         for key in small:
             spark.conf.unset(key)
     days = {
-        day: [f for f in os.listdir(f"{lake.staging}/year=2024/month=06/day={day}") if f.endswith(".parquet")]
+        day: [f for f in os.listdir(f"{lake.staging}/green/2024-06/year=2024/month=06/day={day}") if f.endswith(".parquet")]
         for day in ("01", "02")
     }
     assert len(days["01"]) > 2
-    assert staged_table(spark, lake.staging, FACT_BOOKINGS).count() == 102000
+    assert staged_table(spark, f"{lake.staging}/green/2024-06", FACT_BOOKINGS).count() == 102000
 
 
 def test_day_report_over_published_rows(spark, make_trips, lake):
@@ -153,7 +213,10 @@ def test_day_report_over_published_rows(spark, make_trips, lake):
     monthly_job.run(spark, "2024-06", GREEN, lake)
     platforms = spark.createDataFrame([("HV0003", "x")], "platform_key string, platform_name string")
     facts = staged_table(spark, lake.facts, FACT_BOOKINGS)
-    assert rows(bookings_by_platform(facts, platforms, "2024", "06", "01")) == [(None, 1)]
+    report = bookings_by_platform(facts, platforms, "2024", "06", "01")
+    assert rows(report) == [(None, 1)]
+    assert "PartitionFilters: [isnotnull" in final_plan(report)
+    assert rows(bookings_by_platform_sql(spark, facts, platforms, "2024", "06", "01")) == [(None, 1)]
 
 
 def test_command_line(spark, make_trips, lake, monkeypatch):
