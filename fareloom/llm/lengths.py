@@ -33,7 +33,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str | None = None) -> DataFra
                 n = coder.count(textkit.texts_of(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "tokens"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = textkit.in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(count, "doc_id long, tokens long")
 
 
@@ -49,7 +49,7 @@ def histogram(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
                 [pa.array(length, pa.int64()), pa.array(n, pa.int64())], ["tokens", "documents"]
             )
 
-    partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "tokens long, documents long")
+    partial = textkit.in_small_batches(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(count, "tokens long, documents long")
     return partial.groupBy("tokens").agg(F.sum("documents").alias("documents"))
 
 
@@ -95,14 +95,22 @@ def with_suffix_sums(counts: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def truncated_totals(counts: DataFrame, limits: list[int]) -> DataFrame:
     """``context, tokens`` kept when every document is cut at each limit. ``limits`` is a short list."""
-    keep = [F.sum(F.col("documents") * F.least(F.col("tokens"), F.lit(limit))).alias(str(limit)) for limit in limits]
-    pairs = [F.struct(F.lit(limit).alias("context"), F.coalesce(F.col(str(limit)), F.lit(0)).alias("tokens")) for limit in limits]
+    keep = [
+        F.sum(F.col("documents") * F.least(F.col("tokens"), F.lit(limit))).alias(f"total_{k}")
+        for k, limit in enumerate(limits)
+    ]
+    pairs = [
+        F.struct(F.lit(limit).alias("context"), F.coalesce(F.col(f"total_{k}"), F.lit(0)).alias("tokens"))
+        for k, limit in enumerate(limits)
+    ]
     return counts.agg(*keep).select(F.inline(F.array(*pairs)))
 
 
 def quantiles(counts: DataFrame, shares: list[float]) -> DataFrame:
     """``share, tokens``: least length that at least that share of documents does not exceed; null without documents."""
     summed = with_suffix_sums(counts)
-    best = [F.min(F.when(F.col("share_within") >= s, F.col("tokens"))).alias(str(s)) for s in shares]
-    pairs = [F.struct(F.lit(s).alias("share"), F.col(str(s)).alias("tokens")) for s in shares]
+    best = [
+        F.min(F.when(F.col("share_within") >= share, F.col("tokens"))).alias(f"least_{k}") for k, share in enumerate(shares)
+    ]
+    pairs = [F.struct(F.lit(share).alias("share"), F.col(f"least_{k}").alias("tokens")) for k, share in enumerate(shares)]
     return summed.agg(*best).select(F.inline(F.array(*pairs)))

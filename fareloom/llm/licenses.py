@@ -74,8 +74,8 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_KNOWN) -> DataFrame:
-    """``doc_id, licenses, hits, whole`` per id: sorted license ids in one text, hits, and whether all of a document is
-    one license."""
+    """``doc_id, licenses, hits, whole`` per id: sorted license ids in one text, the lines and paragraphs of several
+    lines that are a license, and whether all of a document is one."""
     spark: SparkSession = docs.sparkSession
     if known is None:
         known = spark.createDataFrame(list(KNOWN), "license_id string, text string")
@@ -86,7 +86,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_K
     sizes = F.array(*[F.lit(r[0]) for r in digests.select("size").distinct().collect()])  # at most max_known numbers
 
     lines = F.split("form", "\\n")
-    paragraphs = F.filter(F.split("form", "\\n *\\n[ \\n]*"), lambda p: F.contains(F.trim(p), F.lit("\n")))
+    paragraphs = F.filter(F.split("form", "\\n *\\n[ \\n]*"), lambda p: p.rlike("[^ \\n] *\\n[ \\n]*[^ \\n]"))
     parts = F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), flat(F.col("form")).alias("unit"))),
         F.transform(F.concat(paragraphs, lines), lambda u: F.struct(F.lit(False).alias("whole"), flat(u).alias("unit"))),
@@ -102,7 +102,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_K
         .groupBy("doc_id")
         .agg(
             F.array_join(F.array_sort(F.collect_set("license_id")), " ").alias("licenses"),
-            F.count("license_id").alias("hits"),
+            F.count(F.when(~F.col("whole"), F.col("license_id"))).alias("parts"),
             F.coalesce(F.max(F.col("whole") & F.col("license_id").isNotNull()), F.lit(False)).alias("whole"),
         )
+        .select("doc_id", "licenses", F.greatest("parts", F.col("whole").cast("long")).alias("hits"), "whole")
     )

@@ -1,0 +1,365 @@
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
+from pyspark.sql import functions as F
+
+from fareloom.llm import bitfilter, chunks, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def by_text(rows):
+    return sorted(map(tuple, rows), key=str)
+
+
+def test_words_of_sliced_columns():
+    """Slices of an Arrow column after lower-casing hold the words that Python finds."""
+    texts = [None if i % 7 == 0 else f" ÉA{i}\tB \x85 C{i % 5}\n" * (i % 4) for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    got = []
+    for part in textkit.slices(batch, "text", 500):
+        offsets, word, vocabulary = textkit.words(pc.utf8_lower(textkit.texts_of(part.column("text"))))
+        names = vocabulary.to_pylist()
+        got += [[names[k] for k in word[a:b]] for a, b in zip(offsets[:-1], offsets[1:])]
+    assert got == [WORD.findall((text or "").lower()) for text in texts]
+
+
+def test_bit_map_holds_its_keys(spark):
+    keys = [0, 1, -1, 32767, 32768, 2**62, -(2**63), 5 * 2**25]
+    bitmap = bitfilter.build(spark.createDataFrame([(k,) for k in [*keys, None]], "k long"), "k")
+    assert bitfilter.holds(bitmap, np.array(keys)).all()
+    assert not bitfilter.holds(bitmap, np.array([2, 77, 32769])).any()
+
+
+# --- license scan ---------------------------------------------------------------------------------------------------
+
+
+def test_licenses(make_docs, awkward):
+    isc = dict((name, text) for name, text in licenses.KNOWN)["ISC"]
+    rows = [
+        (100, "Copyright (c) 2001 A. Nyone\n" + isc.replace("any purpose", "any  purpose").upper()),
+        (101, "some text\nLicenced under the Apache Licence - version 2.0\nmore"),
+        (102, "x\n\n© 1999 Someone\n" + isc.replace(" any ", "\nany ", 1) + "\n\ny"),
+        (103, "Licensed under the Apache License, Version 2.0. And more in the same line"),
+        (104, "Released under the MIT License.\nReleased under the MIT license\nLicensed under CC BY-NC 4.0."),
+        *awkward,
+    ]
+    got = {row.doc_id: (row.licenses, row.hits, row.whole) for row in licenses.scan(make_docs(rows)).collect()}
+    assert got[100] == ("ISC", 1, True)
+    assert got[101] == ("Apache-2.0", 1, False)
+    assert got[102] == ("ISC", 1, False)
+    assert got[103] == ("", 0, False)
+    assert got[104] == ("CC-BY-NC-4.0 MIT", 3, False)
+    assert {key for key, value in got.items() if value[1]} == {100, 101, 102, 104}
+    assert set(got) == {row[0] for row in rows}
+    assert licenses.scan(make_docs([])).collect() == []
+
+
+def test_known_licenses_are_a_parameter(spark, make_docs):
+    known = spark.createDataFrame([("own", "My Own Terms"), ("none", None), ("blank", "!")], "license_id string, text string")
+    assert licenses.scan(make_docs([(1, "my own, terms!")]), known).first()[1:] == ("own", 1, True)
+    with pytest.raises(ValueError, match="max_known"):
+        licenses.scan(make_docs([]), known, max_known=0)
+
+
+# --- substring dedup ------------------------------------------------------------------------------------------------
+
+
+def test_repeated_passages_are_cut_once_they_have_occurred(make_docs, prose):
+    passage = prose(500, 60)
+    rows = [(i, f"{prose(i, 50)} {passage} {prose(1000 + i, 50)}") for i in range(6)] + [(50, prose(50, 400))]
+    got = {row.doc_id: row for row in chunks.deduplicated(make_docs(rows), report=True).collect()}
+    assert passage in got[0].text and got[0].cut_words == 0
+    assert got[50].text == rows[-1][1]
+    middle = " ".join(passage.split()[15:45])
+    for i in range(1, 6):
+        assert middle not in got[i].text
+        assert got[i].text.startswith(prose(i, 40)[:100]) and got[i].text.endswith(prose(1000 + i, 50)[-100:])
+        assert 30 <= got[i].cut_words <= 62
+        words = rows[i][1].split()
+        kept = [w for k, w in enumerate(words) if not any(s.start <= k < s.stop for s in got[i].spans)]
+        assert got[i].text.split() == kept
+
+
+def test_chunks_resist_insertions(prose):
+    text = prose(7, 3000)
+    moved = "new words here " + text
+    digests = [set(chunks.occurrences(pa.array([t]))[3]) for t in (text, moved)]
+    assert len(digests[0] - digests[1]) <= 3
+
+
+def test_spans_leave_the_rest_as_it_was(prose):
+    text = "  a b\tc \n d é f g  "
+    assert chunks.without_spans(text, [(1, 3)]) == "  a d é f g  "
+    assert chunks.without_spans(text, [(0, 2), (3, 6)]) == "  c \n g  "
+    assert chunks.without_spans("a b", [(0, 2)]) == ""
+
+
+def test_dedup_of_awkward_rows(make_docs, awkward, prose):
+    docs = make_docs([*awkward, (20, "x " * 500), (21, prose(99, 60_000))])
+    out = chunks.deduplicated(docs)
+    assert out.columns == docs.columns
+    got = {}
+    for row in out.collect():
+        got.setdefault(row.doc_id, []).append((row.text, row.n_chars))
+    assert got[1] == [(None, None)] and got[2] == [("", None)] and got[3] == [(" \n\t ", 4)]
+    assert len(got[6]) == 2 and got[6][0] == got[6][1] and got[7][0][0] == ""
+    assert len(got[20][0][0].split()) < 100, "a repeated word is cut within a text too"
+    assert got[21][0][0] == "" and got[21][0][1] == 0
+    assert chunks.deduplicated(make_docs([])).collect() == []
+
+
+# --- mixing ---------------------------------------------------------------------------------------------------------
+
+
+def water(sizes, weights=(5, 2, 1), cap=3):
+    """Targets by resharing the excess until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {name: weights[k % 3] for k, name in enumerate(names)}
+    full = set()
+    while True:
+        left = sum(sizes.values()) - sum(cap * sizes[s] for s in full)
+        total = sum(weight[s] for s in names if s not in full)
+        target = {s: cap * sizes[s] if s in full else left * weight[s] / total for s in names}
+        over = {s for s in names if s not in full and target[s] > cap * sizes[s] * (1 + 1e-12)}
+        if not over:
+            return target
+        full |= over
+
+
+def test_targets_and_takings(make_docs, prose):
+    sources = {"a": 300, "b": 300, "c": 5, "d": 40, "Z": 3, "é": 80, None: 20}
+    rows = [(k, prose(k, 20 + k % 50), source) for source, n in sources.items() for k in range(n)]
+    rows = [(k, text, source) for k, (_, text, source) in enumerate(rows)]
+    got = mixing.mixture(make_docs(rows)).collect()
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    wanted, taken = water(sizes), dict.fromkeys(sizes, 0)
+    for row in got:
+        assert row.source_size == sizes[row.source] and row.target == pytest.approx(wanted[row.source])
+        assert row.taken == row.size * row.copies <= 3 * row.size
+        taken[row.source] += row.taken
+    for source, target in wanted.items():
+        assert abs(taken[source] - target) <= 75
+    assert by_text(mixing.mixture(make_docs(rows, 7)).collect()) == by_text(got), "reruns agree"
+
+
+def test_the_mix_repeats_rows(make_docs, awkward):
+    docs = make_docs([*awkward, (30, "only words here", "b")])
+    took = mixing.mixture(docs).collect()
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(row.copies for row in took)
+    assert len(took) == docs.count()
+    assert [row.taken for row in took if row.doc_id in (1, 2, 3)] == [0, 0, 0]
+    assert mixing.mixture(make_docs([])).collect() == []
+    only_blank = mixing.mixture(make_docs([(1, None), (2, " ")])).collect()
+    assert [(row.target, row.taken) for row in only_blank] == [(0, 0), (0, 0)]
+
+
+# --- quality --------------------------------------------------------------------------------------------------------
+
+
+def test_quality_is_learned(spark, make_docs, prose):
+    good = [(k, prose(k, 40 + k) + ".") for k in range(300)]
+    bad = [(1000 + k, f"{prose(k, 3)} " * (10 + k % 9)) for k in range(150)]
+    docs = make_docs(good + bad)
+    labels = spark.createDataFrame([(k, int(k < 1000), 0) for k, _ in good + bad], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels.filter("doc_id % 3 <> 0"))
+    out = quality.scored(docs, model)
+    assert out.columns == [c for c in docs.columns if c != "score"] + ["score"]
+    held = out.filter("doc_id % 3 = 0").select("doc_id", "score").collect()
+    assert all((row.score >= quality.THRESHOLD) == (row.doc_id < 1000) for row in held)
+    assert quality.train(docs, labels.limit(0)) is None
+
+
+def test_factorisation_identity():
+    rng = np.random.default_rng(3)
+    x, linear, v = rng.normal(size=(4, 6)), rng.normal(size=6), rng.normal(size=(6, 3))
+    pairs = [sum(v[i] @ v[j] * row[i] * row[j] for i in range(6) for j in range(i)) for row in x]
+    assert quality.margin(x, 0.5, linear, v)[0] == pytest.approx(0.5 + x @ linear + np.array(pairs))
+
+
+def test_scores_of_awkward_rows(spark, make_docs, awkward):
+    docs = make_docs(awkward)
+    labels = spark.createDataFrame([(6, 1), (7, 0), (9, 1), (9, 0), (5, None), (404, 1)], "doc_id long, quality int")
+    for model in (quality.train(docs, labels), None):
+        got = quality.scored(docs, model).collect()
+        assert len(got) == len(awkward) and all(0 <= row.score <= 1 for row in got)
+    assert quality.scored(make_docs([]), model).collect() == []
+
+
+# --- language -------------------------------------------------------------------------------------------------------
+
+SAMPLES = {
+    "en": "the house and the garden are where they were when we came there with all the others".split(),
+    "de": "das haus und der garten sind noch dort wo sie waren als wir mit allen anderen kamen".split(),
+    "fr": "la maison et le jardin sont encore où ils étaient quand nous sommes venus avec les autres".split(),
+}
+
+
+def sentence(lang, seed, n):
+    rng = np.random.default_rng(seed)
+    return " ".join(rng.choice(SAMPLES[lang], n))
+
+
+def test_languages_and_mixtures(make_docs):
+    rows = [(k, sentence(lang, k, 25), "s", lang) for k, lang in enumerate(list(SAMPLES) * 30)]
+    model = language.train(make_docs(rows))
+    asked = [(k, sentence(lang, 5000 + k, 12), "s", None) for k, lang in enumerate(list(SAMPLES) * 10)]
+    mixed = (900, sentence("fr", 1, 60) + " " + sentence("de", 2, 40), "s", None)
+    got = {row.doc_id: row for row in language.predict(make_docs([*asked, mixed]), model).collect()}
+    assert all(got[k].lang_pred == lang for k, lang in enumerate(list(SAMPLES) * 10))
+    assert got[900].lang_pred == "fr" and got[900].languages == 2 and got[900].score == pytest.approx(0.6, abs=0.1)
+
+
+def test_language_of_awkward_rows(make_docs, awkward):
+    model = language.train(make_docs([*awkward, (70, "mots français", "s", "fr"), (71, "x", "s", None)]))
+    assert model.languages == ["en", "fr"]
+    got = [(row.doc_id, row.lang_pred, row.score) for row in language.predict(make_docs(awkward), model).collect()]
+    assert len(got) == len(awkward)
+    assert {row[0] for row in got if row[1] == "und"} == {1, 2, 3, 11}
+    assert all(row[2] == 0 for row in got if row[1] == "und") and all(0 <= row[2] <= 1 for row in got)
+    nothing = language.train(make_docs([]))
+    assert {row.lang_pred for row in language.predict(make_docs(awkward), nothing).collect()} == {"und"}
+    with pytest.raises(ValueError, match="languages"):
+        language.train(make_docs([(k, "x", "s", f"l{k}") for k in range(5)]), max_languages=4)
+
+
+# --- tokens, packing ------------------------------------------------------------------------------------------------
+
+
+def encoder():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+TRICKY = [
+    (200, "it's  <|endoftext|>x <|startoftext|> a<|startoftext|>b 'S 12,5 ȩ́ İ ΑΣ"),
+    (201, "́ lone mark after a blank  no　break \x1c"),
+]
+
+
+def test_pieces_hold_every_id_once(make_docs, awkward, monkeypatch):
+    from fareloom.llm import tokens
+
+    encode, rows = encoder(), [*awkward, *TRICKY]
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 100)
+    got = packing.packed(make_docs(rows), window=512, windows_per_bin=40).collect()
+    texts = {}
+    for row in rows:
+        texts.setdefault(row[0], []).append(row[1])
+    for doc_id, copies in texts.items():
+        ids = np.array([*encode(copies[0]), 2], np.uint32)
+        starts = list(range(0, len(ids), 512)) * len(copies)
+        own = [row for row in got if row.doc_id == doc_id]
+        assert sorted(row.start for row in own) == sorted(starts)
+        for row in own:
+            part = ids[row.start : row.start + row.length]
+            assert len(part) == row.length and row.doc_tokens == len(ids) and zlib.crc32(part.tobytes()) == row.ids_crc32
+    windows = {}
+    for row in got:
+        windows.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for parts in windows.values():
+        ends = [0]
+        for offset, length in sorted(parts):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 512
+    assert packing.packed(make_docs([])).collect() == []
+
+
+def test_best_fit_takes_the_tightest_window():
+    rng = np.random.default_rng(5)
+    lengths_ = sorted(rng.integers(1, 101, 400).tolist(), reverse=True)
+    numbers, offsets = packing.best_fit(lengths_, 100)
+    room, wanted = [], []
+    for length in lengths_:
+        fits = [r for r in room if r >= length]
+        room = sorted([*room, 100] if not fits else room)
+        wanted.append(min(fits) if fits else 100)
+        room.remove(wanted[-1])
+        room.append(wanted[-1] - length)
+    assert [100 - offset for offset in offsets] == wanted
+    assert len(set(numbers)) <= 1.05 * sum(lengths_) / 100 + 1
+
+
+def test_length_histogram(make_docs, awkward):
+    encode, rows = encoder(), [*awkward, *TRICKY]
+    docs = make_docs(rows)
+    n = sorted(len(encode(row[1])) for row in rows)
+    assert sorted(row.tokens for row in lengths.token_counts(docs).collect()) == n
+    counts = lengths.histogram(docs)
+    got = {row.tokens: row for row in lengths.with_suffix_sums(counts, block=16).collect()}
+    assert set(got) == set(n)
+    for limit, row in got.items():
+        assert row.documents == n.count(limit) and row.documents_at_least == sum(x >= limit for x in n)
+        assert row.tokens_at_least == sum(x for x in n if x >= limit)
+        assert row.truncated_tokens == sum(min(x, limit) for x in n)
+        assert row.share_within == pytest.approx(sum(x <= limit for x in n) / len(n))
+    limits = [0, 1, 50, 10**9]
+    cut = dict(map(tuple, lengths.truncated_totals(counts, limits).collect()))
+    assert cut == {limit: sum(min(x, limit) for x in n) for limit in limits}
+    assert [row.tokens for row in lengths.quantiles(counts, [0.5, 1.0]).collect()] == [n[-(-len(n) // 2) - 1], n[-1]]
+    empty = lengths.histogram(make_docs([]))
+    assert lengths.with_suffix_sums(empty).collect() == []
+    assert lengths.truncated_totals(empty, [5]).collect() == [(5, 0)]
+
+
+# --- fingerprints ---------------------------------------------------------------------------------------------------
+
+
+def spots(text):
+    """The signature's chains in plain Python."""
+    words = re.sub(r"[^\w]|_", " ", text.lower()).split()
+    common, out = set(spotsigs.ANCHORS), []
+    for k, word in enumerate(words):
+        if word in common:
+            following = [w for w in words[k + 1 :] if w not in common][:2]
+            if len(following) == 2:
+                out.append(" ".join(following))
+    if len(out) * spotsigs.SPARSE < len(words):
+        out += [" ".join(pair) for pair in zip(words, words[1:])] if len(words) > 1 else []
+    return set(out) if out else {" ".join(words)}
+
+
+def test_fingerprints_equal_plain_python(make_docs, awkward):
+    rows = [(k, f"the {k} house of the old man is near and he was {k} years in it. Table | a | b | c {k}") for k in range(40, 60)]
+    rows = sorted([*awkward, *rows], key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    got = spotsigs.edited_fingerprints(make_docs(rows)).collect()
+    got.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+    assert len(got) == len(rows)
+    prints = {}
+    for k, (row, result) in enumerate(zip(rows, got)):
+        text, following = row[1] or "", rows[(k + 1) % len(rows)][1] or ""
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + following[:quarter]
+        assert (result.doc_id, result.n_chars) == (row[0], len(text))
+        assert result.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        for other, value in ((edited, result.near_edited), (following, result.near_next)):
+            a, b = spots(text), spots(other)
+            exact = len(a & b) / len(a | b)
+            assert value == pytest.approx(exact, rel=1e-3) or (value == 0 and exact < spotsigs.LEAST)
+        assert prints.setdefault(text, result.fingerprint) == result.fingerprint
+    assert spotsigs.edited_fingerprints(make_docs([])).collect() == []
+    only = spotsigs.edited_fingerprints(make_docs([(1, "abcd efgh")])).first()
+    assert only.near_next == 1.0 and only.edited_sha256 == hashlib.sha256(b"abcd efab").hexdigest()
+
+
+def test_rows_follow_across_ranges(spark):
+    ids = [-(2**62), -5, 0, 1, 2, 3, 1000, 10**6, 10**6 + 1, 2**62]
+    docs = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string").repartition(4)
+    got = {row.doc_id: row.next_text for row in spotsigs.followed(docs, ["text"]).collect()}
+    assert got == {i: str(j) for i, j in zip(ids, [*ids[1:], ids[0]])}
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    wrong = spotsigs.followed(many, ["text"]).filter(F.col("next_text").cast("long") != (F.col("doc_id") + 1) % 3000)
+    assert wrong.count() == 0
