@@ -85,7 +85,7 @@ def test_the_order_of_tokens_changes_no_class(make_docs, prose, monkeypatch):
     rows = near_copies(prose, 4)
     wanted = brute_force(rows, 4, 85)
     for heavy_least, long_list in ((1, 2), (10**9, 10**9)):
-        monkeypatch.setattr(jaccard.heavy_tokens, "__defaults__", (jaccard.HEAVY, heavy_least))
+        monkeypatch.setattr(jaccard, "HEAVY_LEAST", heavy_least)
         monkeypatch.setattr(jaccard.hub_pairs, "__defaults__", (long_list,))
         assert found(make_docs(rows), 4, 85) == wanted
 
