@@ -25,7 +25,7 @@ from fareloom.sources.publishing import DAY_PARTITIONS, balanced, publish, requi
 logger = logging.getLogger(__name__)
 
 _BOOKING_DAY = "__booking_day"
-_LEVELS = {"error": logging.ERROR, "data": logging.WARNING, "info": logging.INFO}
+_LEVELS = {"error": logging.ERROR, "data": logging.INFO, "info": logging.INFO}
 
 # Optional cap on rows per written file. 0 leaves file sizes to the rebalanced write, which suits large months; a month
 # of a small table is usually written with 200000.
@@ -99,7 +99,7 @@ def transform(
     facts = fact_bookings(by_day, period_scan(spark, paths.rates, period), dialect)
     findings = schema_findings(facts.schema, FACT_BOOKINGS)
     for finding in findings:
-        logger.log(_LEVELS[finding.severity], "contract: %s", finding)
+        logger.log(_LEVELS[finding.severity], "contract (%s): %s", finding.severity, finding)
     errors = [finding for finding in findings if finding.severity == "error"]
     if errors:
         raise ContractError(f"built table does not fit its contract: {errors}")

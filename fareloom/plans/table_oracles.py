@@ -226,7 +226,7 @@ WITH {_facts(_JOB_HVFHV_TRIPS)}
 SELECT platform_name, count(*) AS bookings
 FROM facts LEFT JOIN (VALUES ('HV0001', 'first'), ('HV0002', 'second'), ('HV0004', 'fourth'))
   AS platforms(platform_key, platform_name) USING (platform_key)
-WHERE year = '1997' AND month = '06' AND day = '17'
+WHERE year = '1997' AND month = '06' AND day = '30'
 GROUP BY platform_name
 """
 

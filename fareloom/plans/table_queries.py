@@ -652,7 +652,7 @@ def monthly_job_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(found[0].unionByName(found[1]))
 
 
-DAY = ("1997", "06", "17")
+DAY = ("1997", "06", "30")
 
 
 def _platforms(spark: SparkSession) -> DataFrame:
