@@ -1,8 +1,9 @@
 """Document fingerprints from spots: chains of content words that follow common words.
 
 Common words (anchors) are everywhere in prose and rare in boilerplate. Each anchor contributes the next ``CHAIN``
-words that are not anchors themselves; the hashed chains form the fingerprint, a set. A text without a spot takes all
-runs of ``CHAIN`` words, a text shorter than that its normalised self, so no fingerprint is empty.
+words that are not anchors themselves; the hashed chains form the fingerprint, a set. A text with fewer than one spot in
+``SPARSE`` words (tables, lists) adds all runs of ``CHAIN`` words, and one with fewer words than a run is taken whole, so
+no fingerprint is empty.
 
 Fingerprints are compared by Jaccard, pruned by set length: lengths are partitioned so that sets whose likeness can
 reach ``least`` are in the same or the next partition; others are 0 without a comparison. All of it is built-in
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHAIN = 2
+SPARSE = 8
 LEAST = 0.05
 CELLS = 4096
 BUCKET_ROWS = 500
@@ -35,28 +37,58 @@ ANCHORS = (
 ).split()
 
 
+MARK = "\u0001"
+
+
+def anchor_pattern(anchors: list[str] | tuple[str, ...]) -> str:
+    """Any of the anchors as a whole word with the blank after it; alternatives are grouped by first letter."""
+    groups: dict[str, list[str]] = {}
+    for word in sorted(anchors, key=lambda w: (-len(w), w)):
+        groups.setdefault(word[0], []).append(word[1:])
+    return "(?<= )(?:" + "|".join(f"{first}(?:{'|'.join(rests)})" for first, rests in groups.items()) + ") "
+
+
 def normalised(text: Column) -> Column:
     """Lower-case words of letters and digits, one blank around each."""
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " ")), F.lit(" "))
 
 
-def signature(text: Column, anchors: list[str] | tuple[str, ...] = tuple(ANCHORS), chain: int = CHAIN) -> Column:
-    """Sorted distinct 32-bit hashes of the spots of a text."""
-    anchor = "(?:" + "|".join(sorted(anchors, key=len, reverse=True)) + ") "
-    content = f"(?:{anchor})*+[^ ]+ "
-    spot = f"(?<= ){anchor}(?=({content * chain}))"
-    run = f"(?<= )(?=({'[^ ]+ ' * chain}))"
-    plain = normalised(text)
-    spots = F.regexp_extract_all(plain, F.lit(spot), F.lit(1))
-    spots = F.transform(spots, lambda s: F.regexp_replace(F.concat(F.lit(" "), s), f"(?<= ){anchor}", ""))
-    runs = F.regexp_extract_all(plain, F.lit(run), F.lit(1))
-    found = F.when(F.size(spots) > 0, spots).when(F.size(runs) > 0, runs).otherwise(F.array(plain))
-    return F.array_sort(F.array_distinct(F.transform(found, lambda s: F.pmod(F.xxhash64(s), F.lit(1 << 32)))))
+def with_signature(
+    df: DataFrame,
+    text: str,
+    name: str,
+    anchors: list[str] | tuple[str, ...] = tuple(ANCHORS),
+    chain: int = CHAIN,
+) -> DataFrame:
+    """Adds the sorted distinct 32-bit hashes of the spots of a text column.
+
+    One pass turns each anchor into a mark, so that finding the words after a mark needs no list of words. The steps are
+    columns of their own because each is used more than once.
+    """
+    plain, spots = f"{name} plain", f"{name} spots"
+    content = f"{MARK}*+[^ {MARK}]+ "
+    marked = F.regexp_replace(F.col(f"`{plain}`"), anchor_pattern(anchors), MARK)
+    found = F.regexp_extract_all(marked, F.lit(f"{MARK}(?=({content * chain}))"), F.lit(1))
+    words = F.char_length(f"`{plain}`") - F.char_length(F.replace(F.col(f"`{plain}`"), F.lit(" "), F.lit(""))) - 1
+    runs = F.regexp_extract_all(F.col(f"`{plain}`"), F.lit(f"(?<= )(?=({'[^ ]+ ' * chain}))"), F.lit(1))
+    own = F.col(f"`{spots}`")
+    chosen = (
+        F.when(F.size(own) * SPARSE >= words, own)
+        .when(words >= chain, F.concat(own, runs))
+        .otherwise(F.array(F.col(f"`{plain}`")))
+    )
+    hashed = F.transform(chosen, lambda s: F.pmod(F.xxhash64(F.replace(s, F.lit(MARK), F.lit(""))), F.lit(1 << 32)))
+    return (
+        df.withColumn(plain, normalised(F.col(text)))
+        .withColumn(spots, found)
+        .withColumn(name, F.sort_array(F.array_distinct(hashed)))
+        .drop(plain, spots)
+    )
 
 
 def printed(signatures: Column) -> Column:
-    """The fingerprint as text: eight hexadecimal digits per spot."""
-    return F.array_join(F.transform(signatures, lambda s: F.lpad(F.lower(F.hex(s)), 8, "0")), " ")
+    """The fingerprint as text: one number per spot."""
+    return F.array_join(signatures.cast("array<string>"), " ")
 
 
 def length_partition(size: Column, least: float) -> Column:
@@ -152,22 +184,19 @@ def edited_fingerprints(docs: DataFrame, least: float = LEAST) -> DataFrame:
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    pairs = followed(base.withColumn("spots", signature(F.col("text"))), ["text", "spots"])
+    pairs = followed(with_signature(base, "text", "spots"), ["text", "spots"])
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter)
     )
-    return (
-        pairs.select("doc_id", n.cast("long").alias("n_chars"), "spots", "next_spots", edited.alias("edited"))
-        .select("*", signature(F.col("edited")).alias("edited_spots"))
-        .select(
-            "doc_id",
-            "n_chars",
-            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-            printed(F.col("spots")).alias("fingerprint"),
-            printed(F.col("edited_spots")).alias("edited_fingerprint"),
-            likeness(F.col("spots"), F.col("edited_spots"), least).alias("near_edited"),
-            likeness(F.col("spots"), F.col("next_spots"), least).alias("near_next"),
-        )
+    edits = pairs.select("doc_id", n.cast("long").alias("n_chars"), "spots", "next_spots", edited.alias("edited"))
+    return with_signature(edits, "edited", "edited_spots").select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        printed(F.col("spots")).alias("fingerprint"),
+        printed(F.col("edited_spots")).alias("edited_fingerprint"),
+        likeness(F.col("spots"), F.col("edited_spots"), least).alias("near_edited"),
+        likeness(F.col("spots"), F.col("next_spots"), least).alias("near_next"),
     )
