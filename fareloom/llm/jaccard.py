@@ -5,13 +5,11 @@ a global order (rare tokens before frequent ones), so an index holds those first
 
 Relations between sets spare most work:
 
-* Index lists skip by position. A set's first indexed token that any other component also has bounds what it can share
-  with anything at all; sets for which that is too little are passed over in every list at once.
+* Index lists skip by position. What stands behind a token in two sets bounds what they share from it on; entries too far
+  back for the sizes at hand are skipped.
 * Answers are derived from a similar set. In long lists, every set is first compared with one hub, the set of the list
   whose tokens are most frequent, i.e. the one closest to what the list has in common. Sets that link to it form one
   component, and pairs within a component are never looked at again: only what lies between components is.
-* What remains is counted per pair. Shared first tokens, and the tokens that come after both prefixes, bound the
-  overlap; pairs below the threshold go without their sets being read.
 
 All pairs left are verified on their full sets. No candidate is dropped otherwise; token frequencies only shape the
 order, never the result. Only the heaviest tokens (at most ``HEAVY``) are broadcast, and a bit map of fixed size.
@@ -38,8 +36,11 @@ from fareloom.session import materialise
 HEAVY = 1 << 18
 HEAVY_LEAST = 8
 LONG_LIST = 8
+# The part of all tokens, by hash, whose documents are counted. Somewhat more than the part of a set that its prefix
+# takes, so that most prefixes consist of tokens known to be in one document only.
+COUNTED = 0.28
 
-_TOP = np.uint64(1 << 63)
+_TOP, _CLASS = np.uint64(1 << 63), np.uint64(1 << 61)
 
 
 def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,55 +70,92 @@ def set_marks(offsets: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.n
     return marks[0], marks[1]
 
 
-def heavy_tokens(docs: DataFrame, width: int, limit: int = HEAVY, least: int = HEAVY_LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens found often, rarest first, and their counts. Each task counts what repeats within its slices; sums of these
-    over all documents are exact for nothing and good enough for an order."""
+def token_counts(docs: DataFrame, width: int) -> DataFrame:
+    """``token, exact, often`` of tokens in two documents or more.
+
+    ``exact`` is the number of documents of a counted token. ``often`` adds up what repeats within the slices of tasks, a
+    cheap estimate that finds frequent tokens among the others too.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                token, n = np.unique(shingles(textkit.texts_of(part.column("text")), width)[1], return_counts=True)
-                many = n > 1
+                offsets, values = shingles(textkit.texts_of(part.column("text")), width)
+                token, n = np.unique(values[is_counted(values)], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token.view(np.int64)), pa.array(n, pa.int64()), pa.array(np.zeros(len(n), np.int64))], names
+                )
+                token, n = np.unique(values, return_counts=True)
+                token, n = token[n > 1], n[n > 1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token[many].view(np.int64)), pa.array(n[many], pa.int64())], ["token", "n"]
+                    [pa.array(token.view(np.int64)), pa.array(np.zeros(len(n), np.int64)), pa.array(n, pa.int64())], names
                 )
 
-    partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "token long, n long")
-    found = (
-        partial.groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least)
-        .orderBy(F.desc("n"), "token")
-        .limit(limit)  # bounds what is broadcast; the tokens beyond count as rare, which changes no result
-        .toPandas()
+    names = ["token", "exact", "often"]
+    partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
+        count, "token long, exact long, often long"
     )
-    order = np.lexsort((found["token"], found["n"]))
-    return found["token"].to_numpy(np.int64).view(np.uint64)[order], found["n"].to_numpy(np.int64)[order]
+    sums = partial.groupBy("token").agg(F.sum("exact").alias("exact"), F.sum("often").alias("often"))
+    return sums.filter((F.col("exact") > 1) | (F.col("often") > 1))
+
+
+def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
+    return np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+
+
+def is_counted(values: np.ndarray) -> np.ndarray:
+    """Whether a token is among those whose documents are counted: a property of the token alone."""
+    return values < np.uint64(int(COUNTED * 2**64))
 
 
 class TokenOrder:
-    """The global order: rare tokens by hash, then heavy ones by count. Ranks are signed longs."""
+    """The global order: tokens of one document, tokens not counted, tokens that repeat, frequent ones by count; by hash
+    within each of the first three.
+
+    Ranks are signed longs. Whether a token repeats is read from a bit map; a wrong yes places it later, which is as
+    good an order.
+    """
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray, repeated: np.ndarray):
         by_token = np.argsort(tokens)
         self.tokens = tokens[by_token]
         self.rank = by_token.astype(np.uint64)
         self.weight = np.log2(1.0 + counts[by_token])
-
-    def place(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each token, and its weight (0 for rare ones)."""
-        rank, weight = values >> np.uint64(1), np.zeros(len(values))
+        self.repeated = repeated
+
+    @classmethod
+    def learned(cls, counts: DataFrame, limit: int, least: int) -> TokenOrder:
+        """From a written table of ``token_counts``."""
+        found = (
+            counts.filter(F.col("often") >= least)
+            .orderBy(F.desc("often"), "token")
+            .limit(limit)  # bounds what is broadcast; tokens beyond stand with those that repeat
+            .toArrow()
+        )
+        token, often = found["token"].to_numpy(), found["often"].to_numpy()
+        order = np.lexsort((token, often))
+        return cls(token.view(np.uint64)[order], often[order], bitfilter.build(counts, "token"))
+
+    def place(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rank of each token, its weight (0 unless frequent), and whether two documents may have it."""
+        repeats = bitfilter.holds(self.repeated, values)
+        shared = repeats | ~is_counted(values)
+        rank, weight = values >> np.uint64(3), np.zeros(len(values))
+        rank |= np.where(repeats, _CLASS * np.uint64(2), np.where(shared, _CLASS, np.uint64(0)))
         if len(self.tokens):
             at = np.minimum(np.searchsorted(self.tokens, values), len(self.tokens) - 1)
             heavy = self.tokens[at] == values
             rank = np.where(heavy, _TOP | self.rank[at], rank)
             weight = np.where(heavy, self.weight[at], 0.0)
-        return (rank ^ _TOP).view(np.int64), weight
+        return (rank ^ _TOP).view(np.int64), weight, shared
 
 
 def described(docs: DataFrame, width: int, percent: int, order: TokenOrder) -> DataFrame:
-    """``doc_id, n, mark_a, mark_b, centre, prefix`` per row: set size, set hashes, mean weight, first tokens by rank."""
-    names = ["doc_id", "n", "mark_a", "mark_b", "centre", "prefix"]
+    """One row per document: set size, set hashes, mean weight, and the index tokens with their places.
+
+    Index tokens are those of the prefix that another document may have.
+    """
+    names = ["doc_id", "n", "mark_a", "mark_b", "centre", "tokens", "places"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,52 +163,35 @@ def described(docs: DataFrame, width: int, percent: int, order: TokenOrder) -> D
                 offsets, values = shingles(textkit.texts_of(part.column("text")), width)
                 n = np.diff(offsets)
                 a, b = set_marks(offsets, values)
-                rank, weight = order.place(values)
+                rank, weight, shared = order.place(values)
                 row = textkit.rows_of(offsets)
-                rank = rank[np.lexsort((rank, row))]
                 sums = np.concatenate(([0.0], np.cumsum(weight)))
                 centre = (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(n, 1)
-                length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
-                kept = np.arange(len(rank)) - offsets[:-1][row] < length[row]
-                ends = np.concatenate(([0], np.cumsum(length)))
-                columns = [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, a, b)), pa.array(np.round(centre, 6))]
-                yield pa.RecordBatch.from_arrays([*columns, textkit.list_array(ends, pa.array(rank[kept]))], names)
+                sequence = np.lexsort((rank, row))
+                rank, shared = rank[sequence], shared[sequence]
+                place, length = np.arange(len(rank)) - offsets[:-1][row], prefix_length(n, percent)
+                use = np.flatnonzero(shared & (place < length[row]))
+                ends = np.concatenate(([0], np.cumsum(np.bincount(row[use], minlength=len(n)))))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        *(pa.array(x, pa.int64()) for x in (n, a, b)),
+                        pa.array(np.round(centre, 6)),
+                        textkit.list_array(ends, pa.array(rank[use])),
+                        textkit.list_array(ends, pa.array(place[use], pa.int64())),
+                    ],
+                    names,
+                )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(
-        describe, "doc_id long, n long, mark_a long, mark_b long, centre double, prefix array<long>"
-    )
+    kinds = "doc_id long, n long, mark_a long, mark_b long, centre double"
+    return narrow.mapInArrow(describe, kinds + ", tokens array<long>, places array<long>")
 
 
 def index_entries(nodes: DataFrame) -> DataFrame:
-    """``token, node, n, place, length, last, centre``: the prefix tokens that may be in two nodes."""
-    tokens = nodes.select(F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    bitmap = bitfilter.build(shared, "token")
-    names = ["token", "node", "n", "place", "length", "last", "centre"]
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prefix = batch.column("prefix")
-            flat = prefix.flatten().to_numpy(zero_copy_only=False)
-            ends = np.concatenate(([0], np.cumsum(pc.list_value_length(prefix).to_numpy(zero_copy_only=False))))
-            row = textkit.rows_of(ends)
-            use = np.flatnonzero(bitfilter.holds(bitmap, flat))
-            rows, length = row[use], np.diff(ends)
-            taken = pa.array(rows)
-            columns = [
-                pa.array(flat[use]),
-                batch.column("node").take(taken),
-                batch.column("n").take(taken),
-                pa.array(use - ends[:-1][rows], pa.int64()),
-                pa.array(length[rows], pa.int64()),
-                pa.array(flat[ends[1:][rows] - 1]),
-                batch.column("centre").take(taken),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    kinds = "token long, node long, n long, place long, length long, last long, centre double"
-    return nodes.select("prefix", "node", "n", "centre").mapInArrow(pick, kinds)
+    """``token, node, n, place, centre``: one row per node and index token."""
+    each = nodes.select("node", "n", "centre", F.explode(F.arrays_zip("tokens", "places")).alias("entry"))
+    return each.select(F.col("entry.tokens").alias("token"), "node", "n", F.col("entry.places").alias("place"), "centre")
 
 
 def least_overlap(m: Column, n: Column, percent: int) -> Column:
@@ -194,20 +215,18 @@ def hub_pairs(entries: DataFrame, percent: int, long_list: int = LONG_LIST) -> D
     return best.select(F.col("node").alias("a"), F.col("h.hub").alias("b"))
 
 
-def remaining_pairs(entries: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
-    """``a, b`` of different components whose bounds leave the threshold in reach."""
-    if labels is None:
-        own = entries.withColumn("component", F.col("node"))
-    else:
-        own = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def remaining_pairs(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of different components whose first shared token leaves the threshold in reach.
+
+    A token at places i and j bounds what two sets share, from it on, by what stands behind it in either; the first token
+    that they share must leave enough, so list entries beyond are skipped.
+    """
+    own = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Of each list: components in it, and the largest of them.
     parts = own.groupBy("token", "component").agg(F.count("*").alias("size"))
     lists = parts.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
     mixed = lists.filter(F.col("parts") > 1).select("token", F.col("top.component").alias("top"))
-    live = own.join(mixed, "token")
-    # First position that can matter, per node: nothing before it is shared with another component.
-    first = live.groupBy("node").agg(F.min("place").alias("first"))
-    live = materialise(live.join(first, "node").drop("centre"), "lists")
+    live = materialise(own.join(mixed, "token").select("token", "node", "n", "place", "component", "top"), "lists")
     left, right = live.filter(F.col("component") != F.col("top")).alias("l"), live.alias("r")
     need = least_overlap(F.col("l.n"), F.col("r.n"), percent)
     met = left.join(
@@ -217,33 +236,12 @@ def remaining_pairs(entries: DataFrame, labels: DataFrame | None, percent: int)
         # A pair outside the largest component would come up from both sides.
         & ((F.col("r.component") == F.col("r.top")) | (F.col("l.node") < F.col("r.node")))
         & sizes_fit(F.col("l.n"), F.col("r.n"), percent)
-        & (F.col("l.n") - F.col("l.first") >= need)
-        & (F.col("r.n") - F.col("r.first") >= need),
+        & (F.col("l.n") - F.col("l.place") >= need)
+        & (F.col("r.n") - F.col("r.place") >= need),
     )
-    swap = F.col("l.node") > F.col("r.node")
-
-    def side(column: str, one: bool) -> Column:
-        there = (F.col(f"r.{column}"), F.col(f"l.{column}")) if one else (F.col(f"l.{column}"), F.col(f"r.{column}"))
-        return F.when(swap, there[0]).otherwise(there[1])
-
-    rows = met.select(
-        *[side(c, True).alias(f"a_{c}") for c in ("node", "n", "length", "last", "place")],
-        *[side(c, False).alias(f"b_{c}") for c in ("node", "n", "length", "last", "place")],
-    )
-    fixed = [f"{s}_{c}" for s in "ab" for c in ("node", "n", "length", "last")]
-    pairs = rows.groupBy(*fixed).agg(
-        F.count("*").alias("shared"), F.min("a_place").alias("a_first"), F.min("b_place").alias("b_first")
-    )
-    need = least_overlap(F.col("a_n"), F.col("b_n"), percent)
-    # Up to the smaller last rank both prefixes are complete: beyond it only that set's rest can still be shared.
-    rest = F.when(F.col("a_last") <= F.col("b_last"), F.col("a_n") - F.col("a_length")).otherwise(
-        F.col("b_n") - F.col("b_length")
-    )
-    return pairs.filter(
-        (F.col("shared") + rest >= need)
-        & (F.col("a_n") - F.col("a_first") >= need)
-        & (F.col("b_n") - F.col("b_first") >= need)
-    ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return met.select(
+        F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")
+    ).distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -251,28 +249,27 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
     pairs = materialise(pairs, "pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialise(nodes.select("node", "doc_id", "mark_a", "mark_b").join(used, "node"), "wanted")
-    bitmap = bitfilter.build(wanted, "mark_a")
+    bitmap = bitfilter.build(wanted.select(F.xxhash64("doc_id").alias("key")), "key")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in textkit.slices(batch, "text"):
+            # Texts of no node concerned are dropped before they are cut into words.
+            named = bitfilter.holds(bitmap, batch.column("key").to_numpy(zero_copy_only=False))
+            for part in textkit.slices(batch.filter(pa.array(named)), "text"):
                 offsets, values = shingles(textkit.texts_of(part.column("text")), width)
                 a, b = set_marks(offsets, values)
-                rows = np.flatnonzero(bitfilter.holds(bitmap, a) & (np.diff(offsets) > 0))
-                size = np.diff(offsets)[rows]
-                at = np.repeat(offsets[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                ends = np.concatenate(([0], np.cumsum(size)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id").take(pa.array(rows)),
-                        pa.array(a[rows]),
-                        pa.array(b[rows]),
-                        textkit.list_array(ends, pa.array(values[at].view(np.int64))),
+                        part.column("doc_id"),
+                        pa.array(a),
+                        pa.array(b),
+                        textkit.list_array(offsets, pa.array(values.view(np.int64))),
                     ],
                     ["own_id", "own_a", "own_b", "tokens"],
                 )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = narrow.withColumn("key", F.xxhash64("doc_id"))
     sets = narrow.mapInArrow(read, "own_id long, own_a long, own_b long, tokens array<long>")
     sets = sets.join(
         wanted,
@@ -290,13 +287,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
 
 def classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``; the component is named by its smallest id."""
-    order = TokenOrder(*heavy_tokens(docs, width))
+    docs = textkit.in_small_batches(docs)
+    order = TokenOrder.learned(materialise(token_counts(docs, width), "tokens"), HEAVY, HEAVY_LEAST)
     rows = materialise(described(docs, width, percent, order), "rows")
     # Equal sets, equal prefixes: any of them will do. One row per set and task goes into the shuffle.
     nodes = (
         rows.filter(F.col("n") > 0)
         .groupBy("mark_a", "mark_b", "n")
-        .agg(F.min("doc_id").alias("doc_id"), F.any_value("prefix").alias("prefix"), F.any_value("centre").alias("centre"))
+        .agg(F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in ("centre", "tokens", "places")])
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = materialise(nodes, "nodes")
