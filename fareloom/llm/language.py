@@ -83,7 +83,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
                 ["lang", "cell", "n"],
             )
 
-    known = docs.filter(F.col("lang").isNotNull()).select(
+    known = textkit.in_small_batches(docs).filter(F.col("lang").isNotNull()).select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
     partial = known.mapInArrow(count, "lang string, cell int, n long")
@@ -97,9 +97,9 @@ def train(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     if len(languages) > max_languages:
         raise ValueError(f"more than {max_languages} languages; is this the right column?")
     table = np.full((CELLS, len(languages)), SMOOTHING)
-    at = {name: k for k, name in enumerate(languages)}
-    for name, cell, n in counts.collect():
-        table[cell, at[name]] += n
+    found = counts.toArrow()
+    column = pc.index_in(found["lang"], pa.array(languages, found["lang"].type)).to_numpy()
+    table[found["cell"].to_numpy(), column] += found["n"].to_numpy()
     return LanguageModel(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
@@ -176,5 +176,5 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     ["doc_id", "lang_pred", "score", "languages"],
                 )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = textkit.in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(infer, "doc_id long, lang_pred string, score double, languages int")

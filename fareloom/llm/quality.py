@@ -161,6 +161,7 @@ def length_of(docs: DataFrame) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> QualityModel | None:
     """Model from ``labels(doc_id, quality)`` and their documents. ``labels`` must hold training rows only."""
+    docs = textkit.in_small_batches(docs)
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     sample = (
         known.groupBy(F.col("doc_id").cast("long").alias("label_id"))
@@ -198,20 +199,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
         .agg(F.min(F.struct("text", "n_chars")).alias("document"))
         .select("document.text", "document.n_chars", "quality")
         .mapInArrow(extract, "quality int, statistics array<double>, cells array<int>, weights array<float>")
-        .collect()
+        .toArrow()
+        .combine_chunks()
     )
-    if not rows:
+    if not rows.num_rows:
         return None
-    tf = np.zeros((len(rows), WORD_CELLS), np.float32)
-    for k, row in enumerate(rows):
-        tf[k, row.cells] = row.weights
-    statistics = np.array([row.statistics for row in rows])
-    return fit(statistics, tf, np.array([row.quality > 0 for row in rows]))
+    cells, owner = rows["cells"].combine_chunks(), np.arange(rows.num_rows)
+    owner = np.repeat(owner, pc.list_value_length(cells).to_numpy(zero_copy_only=False))
+    tf = np.zeros((rows.num_rows, WORD_CELLS), np.float32)
+    tf[owner, cells.flatten().to_numpy()] = rows["weights"].combine_chunks().flatten().to_numpy()
+    statistics = rows["statistics"].combine_chunks().flatten().to_numpy().reshape(-1, STATISTICS)
+    return fit(statistics, tf, rows["quality"].to_numpy() > 0)
 
 
 def scored(docs: DataFrame, model: QualityModel | None, column: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score in ``column`` (which replaces one of that name). Nothing is shuffled."""
-    kept = docs.drop(column)
+    kept = textkit.in_small_batches(docs).drop(column)
     text, chars = "quality text", "quality length"
     schema = kept.schema.add(column, "double")
 

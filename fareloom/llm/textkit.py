@@ -12,10 +12,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 3_000_000
+from fareloom.session import ship_package
+
+SLICE_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000
 
 # Odd 64-bit multipliers for mixing; any odd values do.
 MIX_A = np.uint64(0x9E3779B97F4A7C15)
@@ -23,6 +26,17 @@ MIX_B = np.uint64(0xC2B2AE3D27D4EB4F)
 MIX_C = np.uint64(0x165667B19E3779F9)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands Arrow tasks batches of at most ``BATCH_BYTES`` (or one row) from now on, and whose
+    workers have this package.
+
+    A task then holds as much whether rows are short or long; Spark's own bound is several times larger.
+    """
+    ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def texts_of(column: pa.Array) -> pa.Array:
     """Text column of a batch with nulls as empty texts.
 
@@ -41,6 +55,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         end = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
         yield batch.slice(start, end - start)
         start = end
+    pa.default_memory_pool().release_unused()  # a worker lives on between tasks
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

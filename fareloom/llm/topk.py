@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.session import materialise
+from fareloom.session import materialise, ship_package
 
 PIVOTS = 16
 SEEDS = 256
@@ -126,6 +126,7 @@ def search(query: tuple, chunk: tuple, floors: np.ndarray, held: dict, k: int) -
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` for tables of ``vec_id long, v array<long>``."""
     spark = candidates.sparkSession
+    ship_package(spark)
     keyed = [F.xxhash64("vec_id", "v"), "vec_id"]
     sample = candidates.select("vec_id", "v").orderBy(*keyed).limit(SEEDS).collect()
     sample_ids = np.array([r.vec_id for r in sample], np.int64)
