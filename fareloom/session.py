@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import atexit
 import logging
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +81,27 @@ def discard_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, once, where it is a folder on the driver.
+
+    Functions that run in tasks call helpers of the package; with this they find them wherever a session was started
+    from. A package that came with ``--py-files`` is there already.
+    """
+    context, folder = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not folder.is_dir():
+        return
+    _shipped.add(context.applicationId)
+    archive = Path(os.path.realpath(tempfile.mkdtemp(prefix="fareloom-code-"))) / "fareloom.zip"
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(folder.rglob("*.py")):
+            target.write(source, source.relative_to(folder.parent))
+    context.addPyFile(str(archive))
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether anything is stored at ``path``."""
     jvm = getattr(spark, "_jvm", None)
