@@ -9,7 +9,10 @@ Relations between sets spare most work:
   back for the sizes at hand are skipped.
 * Answers are derived from a similar set. In long lists, every set is first compared with one hub, the set of the list
   whose tokens are most frequent, i.e. the one closest to what the list has in common. Sets that link to it form one
-  component, and pairs within a component are never looked at again: only what lies between components is.
+  component, and pairs within a component are never formed one by one: only what lies between components is.
+* Links within such a component come from its centre. What two sets share is the centre's size less what either lacks of
+  it plus what their differences from it share; where the differences are small enough together the pair links whatever
+  they share, so such links are counted by sums over sizes of differences. Only differences of the others meet, in blocks.
 
 All pairs left are verified on their full sets. No candidate is dropped otherwise; token frequencies only shape the
 order, never the result. Only the heaviest tokens (at most ``HEAVY``) are broadcast, and a bit map of fixed size.
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.llm import bitfilter, textkit
@@ -36,6 +39,11 @@ from fareloom.session import materialise
 HEAVY = 1 << 18
 HEAVY_LEAST = 8
 LONG_LIST = 8
+# Most sets, and about the most tokens in which they differ from their centre, of a block of undecided sets.
+BLOCK_NODES = 512
+BLOCK_TOKENS = 1 << 17
+# A token in as many sets of two blocks goes into a matrix product instead of being listed by pairs.
+DENSE = 16
 # The part of all tokens, by hash, whose documents are counted. Somewhat more than the part of a set that its prefix
 # takes, so that most prefixes consist of tokens known to be in one document only.
 COUNTED = 0.28
@@ -244,9 +252,8 @@ def remaining_pairs(entries: DataFrame, labels: DataFrame, percent: int) -> Data
     ).distinct()
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs that reach the threshold on their full sets, read again from the texts of the nodes concerned."""
-    pairs = materialise(pairs, "pairs")
+def full_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``node, tokens`` of the nodes in ``pairs(a, b)``, read again from their texts; repeated rows repeat a node."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialise(nodes.select("node", "doc_id", "mark_a", "mark_b").join(used, "node"), "wanted")
     bitmap = bitfilter.build(wanted.select(F.xxhash64("doc_id").alias("key")), "key")
@@ -275,7 +282,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
         wanted,
         F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_a") == F.col("mark_a")) & (F.col("own_b") == F.col("mark_b")),
     ).select("node", "tokens")
-    sets = materialise(sets, "sets")
+    return materialise(sets, "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that reach the threshold on their full sets."""
     met = (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
@@ -285,8 +296,130 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
     return met.filter(F.lit(100) * common >= F.lit(percent) * united).select("a", "b")
 
 
-def classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs``; the component is named by its smallest id."""
+def centre_differences(labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``component, node, copies, slack, far, size, tokens`` of every node of ``labels``: the tokens in which it differs
+    from the centre of its component and their number.
+
+    With r tokens of the centre missing and a others added, ``far`` is 100 r + percent a, and ``slack`` is (100 - percent)
+    times the centre's size. Two sets link if and only if their ``far`` add up to at most ``slack`` plus
+    (100 + percent) times what their differences share.
+    """
+    placed = labels.join(nodes.select("node", "copies", "centre"), "node")
+    centre = F.max(F.struct("centre", "node")).getField("node").alias("hub")
+    hubs = placed.groupBy("component").agg(centre)
+    hub_sets = hubs.join(sets.select(F.col("node").alias("hub"), F.col("tokens").alias("h")), "hub")
+    hub_sets = hub_sets.dropDuplicates(["hub"])
+    met = placed.select("component", "node", "copies").join(sets, "node").join(hub_sets, "component")
+    missing, added = F.array_except("h", "tokens"), F.array_except("tokens", "h")
+    found = met.select(
+        "component",
+        "node",
+        "copies",
+        (F.lit(100 - percent) * F.size("h")).cast("long").alias("slack"),
+        missing.alias("missing"),
+        added.alias("added"),
+    )
+    far = F.lit(100) * F.size("missing") + F.lit(percent) * F.size("added")
+    differ = F.concat("missing", "added")
+    found = found.select(
+        "component", "node", "copies", "slack", far.cast("long").alias("far"), F.size(differ).alias("size"), differ.alias("tokens")
+    )
+    return found.dropDuplicates(["node"])
+
+
+def counts_of_near(members: DataFrame) -> DataFrame:
+    """``node, links``: rows in other nodes of the component that link however little the differences share."""
+    each = members.groupBy("component", "slack", "far").agg(F.sum("copies").alias("copies"))
+    # What lies up to slack - far is a running sum; a question comes after the values that are equal to it.
+    values = each.select("component", F.col("far").alias("at"), F.lit(0).alias("asks"), "copies", F.lit(None).cast("long").alias("far"))
+    asked = each.select("component", (F.col("slack") - F.col("far")).alias("at"), F.lit(1).alias("asks"), F.lit(0).cast("long").alias("copies"), "far")
+    upto = Window.partitionBy("component").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answers = values.unionByName(asked).withColumn("links", F.sum("copies").over(upto)).filter("asks = 1")
+    own = F.when(F.col("far") * 2 <= F.col("slack"), F.col("copies")).otherwise(F.lit(0))
+    joined = members.select("component", "node", "copies", "slack", "far").join(answers.select("component", "far", "links"), ["component", "far"])
+    return joined.select("node", (F.col("links") - own).alias("links"))
+
+
+def shared_counts(left: np.ndarray, lefts: np.ndarray, right: np.ndarray, rights: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """How many tokens each row of one block shares with each of the other: ``left`` are rows, ``lefts`` their tokens."""
+    tokens, codes = np.unique(np.concatenate((lefts, rights)), return_inverse=True)
+    a, b = codes[: len(lefts)], codes[len(lefts) :]
+    in_a, in_b = np.bincount(a, minlength=len(tokens)), np.bincount(b, minlength=len(tokens))
+    dense = (in_a > 0) & (in_b > 0) & (in_a + in_b >= DENSE)
+    sparse = (in_a > 0) & (in_b > 0) & ~dense
+    by_code = np.argsort(b, kind="stable")
+    first = np.concatenate(([0], np.cumsum(in_b)))
+    use = np.flatnonzero(sparse[a])
+    n = in_b[a[use]]
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    met = right[by_code[np.repeat(first[a[use]], n) + step]]
+    shared = np.bincount(np.repeat(left[use], n) * shape[1] + met, minlength=shape[0] * shape[1]).reshape(shape)
+    place = np.cumsum(dense) - 1
+    for start in range(0, int(dense.sum()), 2048):
+        x, y = np.zeros((shape[0], 2048), np.float32), np.zeros((shape[1], 2048), np.float32)
+        for matrix, row, code in ((x, left, a), (y, right, b)):
+            own = np.flatnonzero(dense[code] & (place[code] >= start) & (place[code] < start + 2048))
+            matrix[row[own], place[code[own]] - start] = 1
+        shared += (x @ y.T).astype(np.int64)
+    return shared
+
+
+def counts_of_far(members: DataFrame, percent: int) -> DataFrame:
+    """``node, links``: rows in other nodes of the component that link only by what the differences share.
+
+    Nodes that are near enough to link with all the rest in any case are left out; the others are dealt into blocks by
+    hash, every two blocks of a component meet in one task, and only counts come out.
+    """
+    most = members.groupBy("component").agg(F.max("far").alias("most"))
+    live = members.join(most, "component").filter(F.col("far") + F.col("most") > F.col("slack")).drop("most")
+    total = live.groupBy("component").agg(F.count("*").alias("nodes"), F.sum("size").alias("tokens_in_all"))
+    wanted = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("tokens_in_all") / BLOCK_TOKENS))
+    blocks = total.filter("nodes > 1").select("component", F.least("nodes", wanted).cast("int").alias("blocks"))
+    dealt = live.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+    def count(both: pa.Table) -> pa.Table:
+        both = both.combine_chunks()
+        own, far, copies = (both.column(c).to_numpy() for c in ("own", "far", "copies"))
+        i, j, slack = (both.column(c)[0].as_py() for c in ("i", "j", "slack"))
+        lists = both.column("tokens").combine_chunks()
+        size, tokens = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
+        sides = []
+        for block in (i, j):
+            rows = np.flatnonzero(own == block)
+            place = np.full(len(own), -1)
+            place[rows] = np.arange(len(rows))
+            entry = np.repeat(place, size)
+            sides.append((rows, entry[entry >= 0], tokens[entry >= 0]))
+        (rows, left, lefts), (others, right, rights) = sides
+        need = far[rows][:, None] + far[others][None, :] - slack
+        links = (need > 0) & ((100 + percent) * shared_counts(left, lefts, right, rights, need.shape) >= need)
+        n = np.zeros(len(own), np.int64)
+        if i == j:
+            np.fill_diagonal(links, False)
+        else:
+            n[others] = copies[rows] @ links
+        n[rows] = links @ copies[others]
+        return pa.table({"node": both.column("node"), "links": pa.array(n)}).filter(pa.array(n > 0))
+
+    kept = dealt.select("component", "i", "j", "own", "node", "copies", "slack", "far", "tokens")
+    counted = kept.groupBy("component", "i", "j").applyInArrow(count, "node long, links long")
+    return counted
+
+
+def counts_between(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, links``: rows in nodes that ``links(a, b)``, each pair once, names."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    met = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b")
+    return met.select(F.col("a").alias("node"), F.col("copies").alias("links"))
+
+
+def classes(docs: DataFrame, width: int = 4, percent: int = 85, links: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per row of ``docs``; the component is named by its smallest id.
+
+    With ``links`` also ``n_links``, the number of other rows whose set reaches the threshold with the row's own.
+    """
     docs = textkit.in_small_batches(docs)
     order = TokenOrder.learned(materialise(token_counts(docs, width), "tokens"), HEAVY, HEAVY_LEAST)
     rows = materialise(described(docs, width, percent, order), "rows")
@@ -294,24 +427,41 @@ def classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     nodes = (
         rows.filter(F.col("n") > 0)
         .groupBy("mark_a", "mark_b", "n")
-        .agg(F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in ("centre", "tokens", "places")])
+        .agg(F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in ("centre", "tokens", "places")], F.count("*").alias("copies"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = materialise(nodes, "nodes")
     entries = materialise(index_entries(nodes), "entries")
-    hub_links = materialise(verified(hub_pairs(entries, percent), nodes, docs, width, percent), "links")
+    with_hubs = materialise(hub_pairs(entries, percent), "pairs")
+    hub_sets = full_sets(with_hubs, nodes, docs, width)
+    hub_links = materialise(verified(with_hubs, hub_sets, percent), "links")
     labels = materialise(components(hub_links), "labels")
-    more_links = verified(remaining_pairs(entries, labels, percent), nodes, docs, width, percent)
+    between = materialise(remaining_pairs(entries, labels, percent), "pairs")
+    more_links = verified(between, full_sets(between, nodes, docs, width), percent)
+    counts = None
+    if links:
+        # Rows that repeat an id and a text repeat a node's set, and so a link.
+        more_links = materialise(more_links.distinct(), "links")
+        members = materialise(centre_differences(labels, nodes, hub_sets, percent), "differences")
+        counts = counts_of_near(members).unionByName(counts_of_far(members, percent))
+        counts = counts.unionByName(counts_between(more_links, nodes))
+        counts = counts.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(hub_links.unionByName(more_links))
     named = (
-        nodes.select("mark_a", "mark_b", "n", "doc_id", "node")
+        nodes.select("mark_a", "mark_b", "n", "doc_id", "node", "copies")
         .join(labels, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
     # One row per node; a class gets its smallest id without gathering its members.
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    marks = materialise(named.join(names, "component").select("mark_a", "mark_b", "component_id"), "named")
+    marked = named.join(names, "component")
+    if counts is not None:
+        marked = marked.join(counts, "node", "left")
+        marked = marked.withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    extra = ["n_links"] if links else []
+    marks = materialise(marked.select("mark_a", "mark_b", "component_id", *extra), "named")
     found = rows.select("doc_id", "n", "mark_a", "mark_b")
     joined = found.join(marks, ["mark_a", "mark_b"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    counted = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if links else []
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *counted)

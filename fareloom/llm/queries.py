@@ -62,8 +62,8 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    """Class of every document under four-word shingles and a similarity of 0.85."""
-    return jaccard.classes(table(spark, folder, "documents"), width=4, percent=85)
+    """Class of every document and its number of links, under four-word shingles and a similarity of 0.85."""
+    return jaccard.classes(table(spark, folder, "documents"), width=4, percent=85, links=True)
 
 
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -71,6 +71,42 @@ def test_awkward_rows(make_docs, awkward):
     assert found(make_docs([]), 4, 85) == []
 
 
+def links_by_brute_force(rows, width, percent):
+    """(doc_id, number of linked rows) per row, by comparing all pairs."""
+    sets = [shingle_set(row[1], width) for row in rows]
+    n = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                n[i] += 1
+                n[j] += 1
+    return sorted(((row[0], k) for row, k in zip(rows, n)), key=str)
+
+
+def links_found(docs, width, percent):
+    got = jaccard.classes(docs, width, percent, links=True)
+    return sorted(((r.doc_id, r.n_links) for r in got.collect()), key=str)
+
+
+@pytest.mark.parametrize(("width", "percent", "block", "dense"), [(4, 85, 512, 16), (5, 80, 4, 10**9), (4, 70, 4, 2)])
+def test_links_equal_all_pairs(make_docs, prose, monkeypatch, width, percent, block, dense):
+    """Also a chain of copies of copies, whose ends don't link, and rows that repeat an id and a text."""
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", block)
+    monkeypatch.setattr(jaccard, "DENSE", dense)
+    rows, rng, words = near_copies(prose, 8), random.Random(8), prose(900, 160).split()
+    for _ in range(25):
+        words[rng.randrange(len(words))] = f"c{rng.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+    rows += [rows[-1], rows[-1], rows[3]]
+    wanted = links_by_brute_force(rows, width, percent)
+    assert len({n for _, n in wanted}) > 5
+    assert links_found(make_docs(rows), width, percent) == wanted
+
+
+def test_links_of_awkward_rows(make_docs, awkward):
+    assert links_found(make_docs(awkward), 4, 85) == links_by_brute_force(awkward, 4, 85)
+
+
 def test_thresholds_are_exact(make_docs):
     """85 of 100 shingles shared link, 84 of 99 do not."""
     words = [f"a{i}" for i in range(103)]
