@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -67,6 +68,25 @@ def test_known_licenses_are_a_parameter(spark, make_docs):
         licenses.scan(make_docs([]), known, max_known=0)
 
 
+def test_full_texts_of_licenses(make_docs):
+    """Whole files, and texts of several paragraphs amid other content, wrapped anew."""
+    texts = dict(reversed(licenses.full_texts()))
+    names = "MIT ISC 0BSD BSD-2-Clause Apache-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 MPL-2.0 CC0-1.0".split()
+    rows, wanted = [], {}
+    for k, name in enumerate(names):
+        # Paragraphs are wrapped at other places than in the known text.
+        narrow = "\n\n".join(textwrap.fill(" ".join(p.split()), 47) for p in re.split(r"\n\s*\n", texts[name]))
+        rows += [(3 * k, texts[name]), (3 * k + 1, f"x\n\ny z\n\n{texts[name]}\n\nmore\n\nand more")]
+        wanted |= {3 * k: (name, True), 3 * k + 1: (name, False)}
+        if name in ("MIT", "ISC", "0BSD", "BSD-2-Clause"):
+            rows.append((3 * k + 2, f"MIT Licence\n\nCopyright (c) 2020 A. B.\nAll rights reserved.\n\n{narrow}\n\nend"))
+            wanted[3 * k + 2] = (name, False)
+    rows.append((900, texts["MIT"].replace("sell", "lend")))
+    got = {r.doc_id: r for r in licenses.scan(make_docs(rows)).collect()}
+    assert {k: (got[k].licenses, got[k].whole) for k in wanted} == wanted
+    assert all(got[k].hits > 0 for k in wanted) and got[900].hits == 0
+
+
 # --- substring dedup ------------------------------------------------------------------------------------------------
 
 
