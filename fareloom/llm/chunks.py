@@ -1,15 +1,15 @@
-"""Substring deduplication by content-defined chunking.
+"""Substring deduplication by content-defined seeds.
 
-A gear hash rolls over the words of a text: it is doubled and the hash of the next word added. A chunk ends where its low
-bits are zero, so ends depend on the last ``GEAR_BITS`` words only and chunks after an insertion are as before. Ends too
-close to the end before them are passed over, chunks too long are cut.
+Every ``MIN_WORDS`` words in a row are a passage. The first occurrence of a passage by (doc_id, text, place) stays; the
+words of all later ones are cut from the text, so runs are cut to their last word. An occurrence that overlaps the first
+in the same text is not a later one. Shorter matches stay.
 
-Chunks are deduplicated by digest. A digest covers a chunk and the one after it, so that a short phrase that is merely
-common is not taken for a copy. The first occurrence by (doc_id, text, place) stays; where later occurrences join up to
-``MIN_WORDS`` words or more, those words are cut from the text. Shorter matches stay.
+Seeds spare most passages. The seed of a passage is the least of the hashes of its ``SEED_WORDS`` words in a row, the
+leftmost of equals. It depends on the passage alone, so two occurrences of a passage have equal seeds at two places, and
+neighbouring passages mostly share one: about one word in seven is a seed.
 
-Two passes: digests are counted first, then only occurrences of digests seen twice (a bit map of fixed size lets them
-through) meet in exact joins. Counts are combined before the shuffle, and a digest that holds a third of all chunks
+Two passes: seeds are counted first, then only passages whose seed is there twice (a bit map of fixed size lets them
+through) meet in exact joins. Counts are combined before the shuffle, and a digest that holds a third of all passages
 meets its occurrences in a join that Spark can split.
 
 Defined cases: null texts stay null and empty ones empty, with nothing cut; rows with the same id and text are one
@@ -31,57 +31,37 @@ from pyspark.sql import functions as F
 from fareloom.llm import bitfilter, textkit
 from fareloom.session import materialise
 
-GEAR_BITS = 2
-LEAST_CHUNK = 3
-LARGEST_CHUNK = 32
+SEED_WORDS = 8
 MIN_WORDS = 20
 
-_POWERS = np.cumprod(np.full(LARGEST_CHUNK, textkit.MIX_C, np.uint64))
-
-
-def chunk_ends(offsets: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the chunks of all texts, as word places; ``hashes`` are those of the words in a row."""
-    count, row = len(hashes), textkit.rows_of(offsets)
-    begin = offsets[:-1][row]
-    gear = np.zeros(count, np.uint64)
-    for back in range(GEAR_BITS):
-        moved = np.zeros(count, np.uint64)
-        moved[back:] = hashes[: count - back] << np.uint64(back)
-        moved[np.arange(count) - back < begin] = 0
-        gear += moved
-    ends = np.flatnonzero((gear & np.uint64((1 << GEAR_BITS) - 1)) == 0) + 1
-    # Passed over by the distance to the end before, kept or not: again only nearby words decide.
-    before = np.concatenate(([0], ends[:-1]))
-    before = np.maximum(before, begin[ends - 1]) if len(ends) else before[:0]
-    kept = ends[ends - before >= LEAST_CHUNK]
-    ends = np.unique(np.concatenate((kept, offsets[1:][np.diff(offsets) > 0])))
-    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-    pieces = -(-(ends - starts) // LARGEST_CHUNK)
-    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    first = np.repeat(starts, pieces) + number * LARGEST_CHUNK
-    return first, np.minimum(first + LARGEST_CHUNK, np.repeat(ends, pieces))
-
-
-def occurrences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, word after the last, digest) of each chunk with its successor; words count within a text."""
+
+def passages(texts: pa.Array, length: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
+    """(text, first word, digest, seed, place of the seed) of every ``length`` words in a row; first words count within a
+    text, places over all."""
     offsets, word, vocabulary = textkit.words(pc.ascii_lower(texts))
     hashes = textkit.hash_strings(vocabulary)[word]
-    starts, ends = chunk_ends(offsets, hashes)
-    if not len(starts):
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty
-    place = np.arange(len(word)) - np.repeat(starts, ends - starts)
-    digest = textkit.mix(np.add.reduceat(hashes * _POWERS[place], starts) + (ends - starts).astype(np.uint64))
-    owner = textkit.rows_of(offsets)[starts]
-    follows = np.zeros(len(starts), bool)
-    follows[:-1] = owner[1:] == owner[:-1]
-    alone = ~follows & np.concatenate(([True], ~follows[:-1]))
-    following = np.concatenate((digest[1:], digest[:1]))
-    both = np.where(follows, textkit.mix(digest * textkit.MIX_A + following), textkit.mix(digest ^ textkit.MIX_C))
-    after = np.where(follows, np.concatenate((ends[1:], ends[:1])), ends)
-    use = follows | alone
-    base = offsets[:-1][owner[use]]
-    return owner[use], starts[use] - base, after[use] - base, both[use].view(np.int64)
+    owner = textkit.rows_of(offsets)
+    at = np.flatnonzero(np.arange(len(hashes)) + length <= offsets[1:][owner])
+    width = min(SEED_WORDS, length)
+    full = max(0, len(hashes) - width + 1)
+    short = hashes[:full]
+    for k in range(1, width):
+        short = textkit.mix(short * textkit.MIX_A + hashes[k : full + k])
+    digest = short[at]
+    for k in [*range(width, length - width, width), length - width]:
+        digest = textkit.mix(digest * textkit.MIX_C + short[at + k])
+    seed, place = short[at], at
+    for k in range(1, length - width + 1):
+        other = short[at + k]
+        less = other < seed
+        seed, place = np.where(less, other, seed), np.where(less, at + k, place)
+    return owner[at], at - offsets[:-1][owner[at]], digest.view(np.int64), seed.view(np.int64), place
+
+
+def occurrences(texts: pa.Array, length: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, word after the last, digest) of each passage."""
+    owner, start, digest, _, _ = passages(texts, length)
+    return owner, start, start + length, digest
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -90,28 +70,29 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def digest_counts(docs: DataFrame) -> DataFrame:
-    """``digest, n`` over all chunks, combined within the task first. Rows of one document count again and again."""
+def seed_counts(docs: DataFrame, length: int) -> DataFrame:
+    """``digest, n`` over all seeds, combined within the task first. Rows of one document count again and again."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                digest, n = np.unique(occurrences(textkit.texts_of(part.column("text")))[3], return_counts=True)
+                _, _, _, seed, place = passages(textkit.texts_of(part.column("text")), length)
+                digest, n = np.unique(seed[np.unique(place, return_index=True)[1]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(digest), pa.array(n, pa.int64())], ["digest", "n"])
 
     partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "digest long, n long")
     return partial.groupBy("digest").agg(F.sum("n").alias("n"))
 
 
-def repeated_occurrences(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """``doc_id, text_key, start, stop, digest`` of the chunks whose digest may occur twice."""
+def repeated_occurrences(docs: DataFrame, bitmap: np.ndarray, length: int) -> DataFrame:
+    """``doc_id, text_key, start, stop, digest`` of the passages whose seed may occur twice."""
     names = ["doc_id", "text_key", "start", "stop", "digest"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                owner, start, stop, digest = occurrences(textkit.texts_of(part.column("text")))
-                use = bitfilter.holds(bitmap, digest)
+                owner, start, digest, seed, _ = passages(textkit.texts_of(part.column("text")), length)
+                stop, use = start + length, bitfilter.holds(bitmap, seed)
                 rows = pa.array(owner[use])
                 columns = [part.column("doc_id").take(rows), part.column("text_key").take(rows)]
                 columns += [pa.array(x[use], pa.int64()) for x in (start, stop, digest)]
@@ -123,13 +104,14 @@ def repeated_occurrences(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
 def cut_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_key, spans``: the word ranges to cut of each document that has any, in order."""
     docs = textkit.in_small_batches(docs)
-    counts = digest_counts(docs).filter(F.col("n") > 1)
+    counts = seed_counts(docs, min_words).filter(F.col("n") > 1)
     bitmap = bitfilter.build(counts, "digest")
-    seen = materialise(repeated_occurrences(docs, bitmap), "chunks")
+    seen = materialise(repeated_occurrences(docs, bitmap, min_words), "passages")
     place = F.struct("doc_id", "text_key", "start")
     first = seen.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
-    later = seen.join(first, "digest").filter(~place.eqNullSafe(F.col("first")))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    later = seen.join(first, "digest").filter(~same | (F.col("start") >= F.col("first.start") + min_words))
     # Ranges that touch or overlap form one run.
     own = Window.partitionBy("doc_id", "text_key").orderBy("start", "stop")
     reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))

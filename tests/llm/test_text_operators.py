@@ -106,6 +106,30 @@ def test_repeated_passages_are_cut_once_they_have_occurred(make_docs, prose):
         assert got[i].text.split() == kept
 
 
+def spans_by_brute_force(rows, length=20):
+    """Words to cut of each text: those of all passages but the first, by comparing all."""
+    first, cut = {}, {}
+    for doc_id, text in sorted(rows):
+        words = text.lower().split()
+        cut[doc_id] = set()
+        for k in range(len(words) - length + 1):
+            seen = first.setdefault(tuple(words[k : k + length]), (doc_id, k))
+            if seen[0] != doc_id or k >= seen[1] + length:
+                cut[doc_id].update(range(k, k + length))
+    return cut
+
+
+def test_every_repeated_passage_is_cut_to_its_last_word(make_docs, prose):
+    """Passages of 19 to 80 words, each in three contexts, and texts of few different words."""
+    rows = []
+    for k in range(120):
+        passage = prose(7000 + k, (19, 20, 21, 51, 80)[k % 5])
+        rows += [(3 * k + c, f"{prose(9000 + 3 * k + c, 30)} {passage} {prose(11000 + 3 * k + c, 30)}") for c in range(3)]
+    rows += [(1000, "a b " * 60), (1001, "z " + "b a " * 40), (1002, prose(5, 300, 2)), (1003, prose(5, 200, 2))]
+    got = {r.doc_id: r.spans for r in chunks.deduplicated(make_docs(rows), report=True).collect()}
+    assert {k: {w for s in v for w in range(s.start, s.stop)} for k, v in got.items()} == spans_by_brute_force(rows)
+
+
 def test_chunks_resist_insertions(prose):
     text = prose(7, 3000)
     moved = "new words here " + text
