@@ -95,12 +95,3 @@ def locations(spark):
         ],
         "LocationID int, Borough string, Zone string, service_zone string",
     )
-
-
-def rows(df):
-    return [tuple(row) for row in df.collect()]
-
-
-def final_plan(df):
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]

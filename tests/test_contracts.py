@@ -1,4 +1,4 @@
-from conftest import final_plan
+from result_helpers import final_plan
 from pyspark.sql.types import StructType
 
 from fareloom.operators.contracts import (

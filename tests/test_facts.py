@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import final_plan
+from result_helpers import final_plan
 from pyspark.sql import functions as F
 
 from fareloom.operators.quality import QualityError, quality_report, require_quality

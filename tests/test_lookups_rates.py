@@ -1,7 +1,7 @@
 from decimal import Decimal as D
 
 import pytest
-from conftest import final_plan, rows
+from result_helpers import final_plan, rows
 from pyspark.sql import functions as F
 
 from fareloom.operators.lookups import attach, attach_dimension, heavy_keys, measured_bytes, spread_join

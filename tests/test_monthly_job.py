@@ -3,7 +3,7 @@ import sys
 from dataclasses import replace
 
 import pytest
-from conftest import final_plan, rows
+from result_helpers import final_plan, rows
 from pyspark.sql import functions as F
 
 from fareloom.operators.quality import QualityError

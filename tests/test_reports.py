@@ -1,5 +1,5 @@
 import pytest
-from conftest import final_plan, rows
+from result_helpers import final_plan, rows
 from pyspark.sql import functions as F
 
 from fareloom.operators.rollup import Measure, count_rows, mean, rollup_by_dimension, total

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import final_plan, rows
+from result_helpers import final_plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
