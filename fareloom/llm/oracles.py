@@ -50,4 +50,48 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op4_source_mix": OP4, "op7_top_k": OP7}
+OP11 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+        unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), listed AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces
+), spread AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM listed
+), grams AS (
+    SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+    FROM spread, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE i + size - 1 <= len(words)
+), f AS (
+    SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), often AS (
+    SELECT * FROM f WHERE f >= 30
+), cuts AS (
+    SELECT o.lang, o.size, o.phrase, o.f AS a, k, string_split(o.phrase, ' ') AS w
+    FROM often o, (SELECT unnest([1, 2, 3]) AS k) WHERE k < o.size
+), scored AS (
+    SELECT c.lang, c.size, c.phrase, c.a, c.k, h.f AS l, t.f AS r,
+        ((2000000::HUGEINT * c.a) // (h.f::HUGEINT + t.f))::BIGINT AS score
+    FROM cuts c JOIN often h ON h.lang = c.lang AND h.phrase = array_to_string(c.w[:c.k], ' ')
+    JOIN often t ON t.lang = c.lang AND t.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), weakest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, f, string_split(phrase, ' ') AS w, unnest(range(1, size + 1)) AS s, size FROM often WHERE size > 2
+), covers AS (
+    SELECT lang, array_to_string(w[s:e], ' ') AS phrase, max(f) AS longer
+    FROM inside, (SELECT unnest([2, 3, 4]) AS e) WHERE e > s AND e <= size AND e - s + 1 < size GROUP BY ALL
+), kept AS (
+    SELECT w.* FROM weakest w LEFT JOIN covers c ON c.lang = w.lang AND c.phrase = w.phrase
+    WHERE c.longer IS NULL OR 100::HUGEINT * c.longer < 80::HUGEINT * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT k.*, t.n, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM kept k JOIN totals t ON t.lang = k.lang
+) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op4_source_mix": OP4, "op7_top_k": OP7, "op11_collocations": OP11}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import chunks, jaccard, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
+from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,6 +81,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 strongest collocations of every language."""
+    mined = collocations.mine(table(spark, folder, "documents"))
+    return collocations.strongest(mined, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
@@ -92,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
 }
