@@ -36,44 +36,63 @@ SCALE = 2_000_000
 TRIE_PHRASES = 1 << 18
 SEEDS = 16
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_ENDS_PIECE = np.zeros(256, bool)
-_ENDS_PIECE[list(b".,;:!?\n\x0b\x0c\r")] = True
-_GAP = _ENDS_PIECE.copy()
-_GAP[[9, 32]] = True
+MERGE_ROWS = 1_000_000
 
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_ENDS_PIECE = b".,;:!?\n\x0b\x0c\r"
+_GAP = _ENDS_PIECE + b" \t"
+_CLASS = bytes(2 if b in _ENDS_PIECE else 1 if b in _GAP else 0 for b in range(256))
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
-def split_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(text, piece, word number) of each word in lower case, and the vocabulary. Pieces are numbered over all texts."""
+
+def split_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, piece) of each word, where each starts among the bytes of all words (one more for the end), and those
+    bytes in lower case. Pieces are numbered over all texts."""
     width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     ends = np.frombuffer(offsets, width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    raw = bytes(memoryview(data)[ends[0] : ends[-1]]) if data is not None else b""
     ends = ends - ends[0]
-    first = ends[:-1][ends[:-1] < len(raw)]
-    inside, mark = ~_GAP[raw], _ENDS_PIECE[raw].astype(np.int64)
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
-    starts[first] = inside[first]
-    mark[first] += 1
+    kind = np.frombuffer(raw.translate(_CLASS), np.uint8)
+    inside, mark = np.zeros(len(raw) + 2, bool), kind == 2
+    inside[1:-1] = kind == 0
+    starts, stops = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    first = ends[:-1][ends[:-1] < len(raw)]  # a text ends the word and the piece before it
+    starts[first], stops[first], mark[first] = inside[first + 1], inside[first], True
     at = np.flatnonzero(starts)
-    piece = np.cumsum(mark)[at]
+    bounds = np.concatenate(([0], np.cumsum(np.flatnonzero(stops) - at)))
+    piece = np.cumsum(mark, dtype=np.int32)[at]
     owner = np.searchsorted(ends, at, side="right") - 1
-    packed = _LOWER[raw[inside]]
-    bounds = np.append(np.cumsum(inside)[at] - 1, len(packed)).astype(np.int32)
-    words = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(packed)).dictionary_encode()
-    return owner, piece, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
+    return owner, piece, bounds, np.frombuffer(raw.translate(_LOWER, _GAP), np.uint8)
+
+
+def hash_spans(data: np.ndarray, bounds: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hash of each span of bytes, eight bytes at a time."""
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
+    at, left = bounds[:-1], np.diff(bounds)
+    out = textkit.mix(left.astype(np.uint64) + np.uint64(seed) * textkit.MIX_C)
+    rows = np.arange(len(out))
+    while len(rows):
+        out[rows] = textkit.mix(out[rows] ^ (eight[at] & _MASK[np.minimum(left, 8)]))
+        longer = left > 8
+        rows, at, left = rows[longer], at[longer] + 8, left[longer] - 8
+    return out
 
 
 def identified(part: pa.RecordBatch, seed: int) -> tuple[np.ndarray, ...]:
-    """(language, piece, word, id) of each word of a slice, with the vocabularies of languages and words."""
-    owner, piece, word, vocabulary = split_pieces(textkit.texts_of(part.column("text")))
+    """(language, piece, id) of each word of a slice, the languages, and the bounds and bytes of the words."""
+    owner, piece, bounds, data = split_pieces(textkit.texts_of(part.column("text")))
     coded = part.column("lang").dictionary_encode()
     lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
-    salt = np.array([xxhash.xxh3_64_intdigest(x, seed + 1) for x in coded.dictionary.to_pylist()], np.uint64)
-    ids = textkit.mix(textkit.hash_strings(vocabulary, seed)[word] ^ textkit.mix(salt)[lang]).view(np.int64)
-    return lang, piece, word, ids, coded.dictionary, vocabulary
+    salt = np.array([xxhash.xxh3_64_intdigest(x, seed) for x in coded.dictionary.to_pylist()], np.uint64)
+    ids = textkit.mix(hash_spans(data, bounds, seed) ^ textkit.mix(salt)[lang]).view(np.int64)
+    return lang, piece, ids, coded.dictionary, bounds, data
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(inverse, np.concatenate(counts), len(key)).astype(np.int64)
 
 
 def word_counts(docs: DataFrame, seed: int) -> DataFrame:
@@ -82,14 +101,18 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                lang, _, word, ids, langs, vocabulary = identified(part, seed)
-                size = max(1, len(vocabulary))
+                lang, _, ids, langs, bounds, data = identified(part, seed)
+                spans = pa.StringArray.from_buffers(
+                    len(ids), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)
+                ).dictionary_encode()
+                word = spans.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                size = max(1, len(spans.dictionary))
                 key, first, n = np.unique(lang * size + word, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[first]),
                         langs.take(pa.array(key // size)),
-                        vocabulary.take(pa.array(key % size)),
+                        spans.dictionary.take(pa.array(key % size)),
                         pa.array(n, pa.int64()),
                     ],
                     ["id", "lang", "word", "n"],
@@ -101,7 +124,7 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
 
 def all_words(docs: DataFrame) -> tuple[DataFrame, int]:
     """Written word counts whose ids are unique, and their seed."""
-    for seed in range(0, 2 * SEEDS, 2):
+    for seed in range(SEEDS):
         words = materialise(word_counts(docs, seed), "words")
         if words.groupBy("id").count().filter("count > 1").isEmpty():
             return words, seed
@@ -119,33 +142,53 @@ def pass_over(docs: DataFrame, seed: int, phrases: DataFrame, length: int, follo
     ids = np.stack([table.column(f"w{k}").to_numpy() for k in range(length)], axis=1)
     shared = docs.sparkSession.sparkContext.broadcast((keys, doublearray.build(ids)))
 
+    def rows(key: np.ndarray, after: np.ndarray | None, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(key), 100_000):
+            own = slice(k, k + 100_000)
+            follows = pa.nulls(len(key[own]), pa.int64()) if after is None else pa.array(after[own])
+            yield pa.RecordBatch.from_arrays([pa.array(key[own]), follows, pa.array(n[own])], ["key", "next", "n"])
+
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, trie = shared.value
         total = np.zeros(len(keys), np.int64)
+        words = trie.ids()
+        pairs, counts, held = [], [], 0
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                lang, piece, word, ids, _, vocabulary = identified(part, seed)
-                state = trie.walk(trie.codes(ids), piece, length)
-                at = np.flatnonzero(state >= 0)
-                leaf = trie.leaf[state[at]]
+                _, piece, ids, _, _, _ = identified(part, seed)
+                code = trie.codes(ids)
+                at, state = trie.walk(code, piece, length)
+                leaf = trie.leaf[state].astype(np.int64)
                 total += np.bincount(leaf, minlength=len(keys))
                 if not follow:
                     continue
-                goes_on = at + length < len(word)
-                at, leaf = at[goes_on], leaf[goes_on]
-                goes_on = piece[at + length] == piece[at]
+                goes_on = at + length < len(ids)
+                goes_on[goes_on] = piece[at[goes_on] + length] == piece[at[goes_on]]
                 if whole:
-                    goes_on &= state[at + 1] >= 0
-                at, leaf = at[goes_on], leaf[goes_on]
-                after = at + length
-                size = max(1, len(vocabulary)) * (int(lang.max(initial=0)) + 1)
-                local = lang[after] * max(1, len(vocabulary)) + word[after]
-                _, first, n = np.unique(leaf.astype(np.int64) * size + local, return_index=True, return_counts=True)
-                columns = [pa.array(keys[leaf[first]]), pa.array(ids[after[first]]), pa.array(n, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "next", "n"])
+                    starts = np.zeros(len(ids) + 1, bool)
+                    starts[at] = True
+                    goes_on &= starts[at + 1]
+                    at, leaf = at[goes_on], leaf[goes_on]
+                    key, n = np.unique(leaf * len(words) + code[at + length], return_counts=True)
+                    pairs.append(key)
+                    counts.append(n)
+                    held += len(key)
+                    if held > MERGE_ROWS:
+                        key, n = summed(pairs, counts)
+                        pairs, counts, held = [key], [n], len(key)
+                        if held > MERGE_ROWS // 2:
+                            yield from rows(keys[key // len(words)], words[key % len(words)], n)
+                            pairs, counts, held = [], [], 0
+                else:
+                    at, leaf = at[goes_on], leaf[goes_on]
+                    known, local = np.unique(ids[at + length], return_inverse=True)
+                    key, n = np.unique(leaf * max(1, len(known)) + local, return_counts=True)
+                    yield from rows(keys[key // max(1, len(known))], known[key % max(1, len(known))], n)
+        if pairs:
+            key, n = summed(pairs, counts)
+            yield from rows(keys[key // len(words)], words[key % len(words)], n)
         seen = np.flatnonzero(total)
-        columns = [pa.array(keys[seen]), pa.nulls(len(seen), pa.int64()), pa.array(total[seen])]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "next", "n"])
+        yield from rows(keys[seen], None, total[seen])
 
     return docs.mapInArrow(advance, "key long, next long, n long")
 

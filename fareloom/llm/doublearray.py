@@ -1,6 +1,6 @@
 """Double-array tries over sequences of 64-bit word ids, walked for all positions of a text at once.
 
-A word's number in the trie's sorted vocabulary is written as two digits of about the square root of the vocabulary, so
+A word's number in the trie's vocabulary (found by open addressing) is written as two digits of about the square root of the vocabulary, so
 a node has at most that many children and one step per digit: ``next = base[state] + digit``, valid where
 ``check[next] == state``. Nodes with many children get a row of slots each; the others are dealt into free slots at
 random places, larger ones first, all of a round at once.
@@ -18,39 +18,67 @@ _ROOT = 0
 
 @dataclass
 class DoubleArray:
-    vocabulary: np.ndarray  # sorted word ids
-    digits: int
+    table: np.ndarray  # word ids by open addressing; free places hold the id of another place
+    numbers: np.ndarray  # number of the word in each place, -1 if free
+    high: np.ndarray  # first and second digit of each number
+    low: np.ndarray
     base: np.ndarray
     check: np.ndarray
     leaf: np.ndarray  # number of the sequence that ends in a slot, or -1
 
+    def ids(self) -> np.ndarray:
+        """Word ids by number."""
+        used = np.flatnonzero(self.numbers >= 0)
+        out = np.empty(len(used), np.int64)
+        out[self.numbers[used]] = self.table[used]
+        return out
+
     def codes(self, ids: np.ndarray) -> np.ndarray:
         """Number of each word in the vocabulary, -1 if it has none."""
-        if not len(self.vocabulary):
-            return np.full(len(ids), -1, np.int64)
-        at = np.searchsorted(self.vocabulary, ids)
-        at[at == len(self.vocabulary)] = 0
-        return np.where(self.vocabulary[at] == ids, at, -1)
-
-    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
-        """States after one more word, -1 where there is none. ``state`` and ``code`` may be -1."""
-        for digit in (code // self.digits, code % self.digits):
-            known = (state >= 0) & (code >= 0)
-            slot = np.where(known, self.base[state] + digit, 0)
-            state = np.where(known & (self.check[slot] == state), slot, -1)
-        return state
-
-    def walk(self, code: np.ndarray, piece: np.ndarray, length: int) -> np.ndarray:
-        """State of every position after the ``length`` words from it, -1 where they leave the piece or the trie."""
-        state = np.full(len(code), _ROOT, np.int64)
+        mask = len(self.table) - 1
+        place = ids & mask
+        code = np.where(self.table[place] == ids, self.numbers[place], -1)
+        left = np.flatnonzero((self.table[place] != ids) & (self.numbers[place] >= 0))
+        place = place[left]
+        while len(left):
+            place = (place + 1) & mask
+            equal = self.table[place] == ids[left]
+            code[left[equal]] = self.numbers[place[equal]]
+            go_on = ~equal & (self.numbers[place] >= 0)
+            left, place = left[go_on], place[go_on]
+        return code
+
+    def walk(self, code: np.ndarray, piece: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, states) of all places where ``length`` words of one piece lead through the trie."""
+        at = np.flatnonzero(code >= 0)
+        state = np.full(len(at), _ROOT, np.int64)
         for level in range(length):
-            inside = len(code) - level
-            if inside <= 0:
-                return np.full(len(code), -1, np.int64)
-            state[inside:] = -1
-            same = piece[level:] == piece[:inside]
-            state[:inside] = self.step(np.where(same, state[:inside], -1), code[level:])
-        return state
+            if level:
+                inside = at + level < len(code)
+                at, state = at[inside], state[inside]
+                inside = (piece[at + level] == piece[at]) & (code[at + level] >= 0)
+                at, state = at[inside], state[inside]
+            for digit in self.high, self.low:
+                slot = self.base[state] + digit[code[at + level]]
+                known = self.check[slot] == state
+                at, state = at[known], slot[known].astype(np.int64)
+        return at, state
+
+
+def _open_addressing(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, numbers) of a table of at least twice as many places."""
+    size = 1 << int(2 * len(ids)).bit_length()
+    table, numbers = np.zeros(size, np.int64), np.full(size, -1, np.int64)
+    left = np.arange(len(ids))
+    place = ids & (size - 1)
+    while len(left):
+        free = numbers[place] < 0
+        first = np.zeros(len(left), bool)
+        first[np.unique(place, return_index=True)[1]] = True
+        won = free & first
+        table[place[won]], numbers[place[won]] = ids[left[won]], left[won]
+        left, place = left[~won], (place[~won] + 1) & (size - 1)
+    return table, numbers
 
 
 def _nodes(sequences: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +143,9 @@ def build(ids: np.ndarray) -> DoubleArray:
     base, slots = _bases(parent, digit, nodes, digits)
     slot = np.zeros(nodes, np.int64)
     slot[child] = base[parent] + digit
-    table = DoubleArray(vocabulary, digits, *(np.full(slots + digits, -1, np.int32) for _ in range(3)))
+    number = np.arange(len(vocabulary))
+    shape = (np.full(slots + digits, -1, np.int32) for _ in range(3))
+    table = DoubleArray(*_open_addressing(vocabulary), number // digits, number % digits, *shape)
     table.base[slot] = base
     table.check[slot[child]] = slot[parent]
     table.leaf[slot[ends]] = np.arange(len(ids))
