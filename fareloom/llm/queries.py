@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, packing, quality, spotsigs, textkit, topk
+from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, packing, periodic, quality, spotsigs, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +87,23 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.strongest(mined, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words in every document, one in ten with planted repeats."""
+    found = periodic.detect(periodic.with_planted_repeats(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    joined = F.concat_ws("\n", F.concat(lines, F.array(F.lit(""))))
+    return found.withColumn("best", periodic.strongest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, joined).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
@@ -99,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
