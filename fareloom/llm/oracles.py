@@ -94,4 +94,30 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
 ) WHERE rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op4_source_mix": OP4, "op7_top_k": OP7, "op11_collocations": OP11}
+OP12 = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.95
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), degree AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+), component AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN degree ON a = vec_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_source_mix": OP4,
+    "op7_top_k": OP7,
+    "op11_collocations": OP11,
+    "op12_embedding_near_dedup": OP12,
+}

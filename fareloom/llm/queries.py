@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, packing, periodic, quality, spotsigs, textkit, topk
+from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, neighbours, packing, periodic, quality, spotsigs, textkit, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +87,11 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.strongest(mined, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op12_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, component and representative of every vector."""
+    return neighbours.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of repeated words in every document, one in ten with planted repeats."""
     found = periodic.detect(periodic.with_planted_repeats(table(spark, folder, "documents")))
@@ -116,5 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
