@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.operators.asof import asof_join
 from fareloom.operators.lookups import attach
 
 _FROM = "__rate_currency"
@@ -71,3 +72,28 @@ def attach_rates(
         )
         keyed = attach(keyed, quoted, [_FROM, _DAY], "left", **options)
     return keyed.drop(_FROM, _DAY)
+
+
+def attach_last_rates(
+    facts: DataFrame,
+    rates: DataFrame,
+    currencies: Sequence[str],
+    *,
+    currency: str,
+    day: Column,
+    max_age_days: int | None = None,
+    **options,
+) -> DataFrame:
+    """Like ``attach_rates``, with the last known rate where a day has none, at most ``max_age_days`` old.
+
+    Only the distinct currencies and days of the facts go through the as-of join; its result is an ordinary lookup by
+    equality, so the facts stay where they are as long as it is small enough to broadcast.
+    """
+    keyed = facts.withColumns({_FROM: F.col(currency), _DAY: day.cast("date")})
+    asked = keyed.select(_FROM, _DAY).where(F.col(_FROM).isNotNull() & F.col(_DAY).isNotNull()).distinct()
+    names = [rate_column(target) for target in currencies]
+    quotes = daily_rates(rates, currencies).withColumnRenamed(_DAY, "__quoted")
+    last = asof_join(
+        asked, quotes, [_FROM], fact_time=_DAY, known_time="__quoted", values=names, within=max_age_days
+    )
+    return attach(keyed, last, [_FROM, _DAY], "left", **options).drop(_FROM, _DAY)

@@ -21,6 +21,7 @@ from fareloom.plans.tables import FACT_BOOKINGS
 from fareloom.session import open_session
 from fareloom.sources.periods import Period, period_scan
 from fareloom.sources.publishing import DAY_PARTITIONS, balanced, publish, require_apart, stage, staged_table
+from fareloom.sources.releases import Releases
 
 logger = logging.getLogger(__name__)
 
@@ -88,6 +89,7 @@ def transform(
     dialect: Dialect,
     paths: JobPaths,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    staging_path: str | None = None,
 ) -> StagedMonth:
     """Build one month and write it to staging, counting checks and stray rows in the same pass.
 
@@ -103,7 +105,7 @@ def transform(
     errors = [finding for finding in findings if finding.severity == "error"]
     if errors:
         raise ContractError(f"built table does not fit its contract: {errors}")
-    path, counts = paths.staging_of(dialect, period), Observation()
+    path, counts = staging_path or paths.staging_of(dialect, period), Observation()
     # A row without a booking day belongs to no period.
     stray = F.count_if(~F.coalesce(period.contains(), F.lit(False))).alias("stray_rows")
     stage(facts.observe(counts, stray, *check_counts(FACT_CHECKS)), path, DAY_PARTITIONS, max_records_per_file, balance=False)
@@ -124,9 +126,12 @@ def load(
     dialect: Dialect,
     paths: JobPaths,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    releases: Releases | None = None,
 ) -> tuple[list[Row], int]:
     """Publish the month if no blocking check fails; otherwise raise and leave the fact table as it is.
 
+    With ``releases`` the staged files themselves become the month's partitions, all days at once.
+
     Rows that belong to other months (a month's raw files can hold some) never replace published days. They are
     written to the rejects path first; without one the load raises, so that no row is lost unseen.
     """
@@ -138,7 +143,10 @@ def load(
         logger.warning("%d staged rows are outside %s and go to %s", staged.stray_rows, period, rejects)
         inside = F.coalesce(period.contains(), F.lit(False))
         staged.table.where(~inside).write.mode("overwrite").parquet(rejects)
-    publish(spark, staged.path, paths.facts, FACT_BOOKINGS, DAY_PARTITIONS, period, max_records_per_file)
+    if releases:
+        releases.publish(spark, staged.path, period)
+    else:
+        publish(spark, staged.path, paths.facts, FACT_BOOKINGS, DAY_PARTITIONS, period, max_records_per_file)
     return checks, staged.stray_rows
 
 
@@ -148,11 +156,17 @@ def run(
     dialect: Dialect,
     paths: JobPaths,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    release_name: str | None = None,
 ) -> JobResult:
-    """Transform and load one month. Every failure is raised."""
+    """Transform and load one month. Every failure is raised.
+
+    With ``release_name`` the facts path holds releases, and that name shows the newest one in the catalog.
+    """
     period = Period.parse(date_str)
-    staged = transform(spark, period, dialect, paths, max_records_per_file)
-    checks, stray_rows = load(spark, staged, period, dialect, paths, max_records_per_file)
+    releases = Releases(release_name, paths.facts, FACT_BOOKINGS, DAY_PARTITIONS) if release_name else None
+    run_path = releases.new_run() if releases else None
+    staged = transform(spark, period, dialect, paths, max_records_per_file, run_path)
+    checks, stray_rows = load(spark, staged, period, dialect, paths, max_records_per_file, releases)
     logger.info("published %s", period)
     return JobResult(checks, staged.findings, stray_rows)
 
@@ -164,13 +178,16 @@ def main(arguments: list[str] | None = None) -> None:
     for name in ("bookings", "rates", "staging", "facts"):
         parser.add_argument(f"--{name}", required=True, help=f"base path of {name}")
     parser.add_argument("--rejects", help="base path for rows of other months")
+    parser.add_argument("--release_name", help="catalog name; the facts path then holds atomic releases")
     parser.add_argument("--max_records_per_file", type=int, default=MAX_RECORDS_PER_FILE)
     options = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     paths = JobPaths(options.bookings, options.rates, options.staging, options.facts, options.rejects)
     spark = open_session("booking facts")
     try:
-        run(spark, options.date_str, DIALECTS[options.dialect], paths, options.max_records_per_file)
+        run(
+            spark, options.date_str, DIALECTS[options.dialect], paths, options.max_records_per_file, options.release_name
+        )
     finally:
         spark.stop()
 

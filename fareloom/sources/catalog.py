@@ -44,6 +44,18 @@ def add_partition(
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}){where}")
 
 
+def add_partitions(
+    spark: SparkSession, table: str, partitions: Sequence[tuple[Mapping[str, str], str]], batch: int = 500
+) -> None:
+    """Register many partitions with their locations, so many per statement; those that are there stay as they are."""
+    for k in range(0, len(partitions), batch):
+        added = [
+            f"PARTITION ({', '.join(f'{c}={_text(v)}' for c, v in values.items())}) LOCATION {_text(location)}"
+            for values, location in partitions[k : k + batch]
+        ]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+
+
 def recover_partitions(spark: SparkSession, table: str) -> None:
     """Register every partition directory found below the table's location."""
     spark.catalog.recoverPartitions(table)
