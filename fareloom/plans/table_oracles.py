@@ -60,7 +60,7 @@ _JOB_HVFHV_TRIPS = (
     .replace("l_shipdate AS dropoff,", "greatest(l_shipdate, pickup) AS dropoff,")
 )
 
-_RATES = """
+RATES = """
 rates AS (
   SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_day,
          CAST(0.7 AS DOUBLE) + CAST(day(o_orderdate) AS DOUBLE) / CAST(1000 AS DOUBLE) AS gbp_rate,
@@ -71,7 +71,7 @@ rates AS (
 
 
 def _facts(trips: str) -> str:
-    return f"""{trips},{_RATES},
+    return f"""{trips},{RATES},
 facts AS (
   SELECT CAST(strftime(requested, '%Y%m%d') AS INTEGER) AS booking_date_key,
          CAST(strftime(pickup, '%Y%m%d') AS INTEGER) AS pu_date_key,
@@ -183,7 +183,7 @@ checked AS (
 _IP = f"WITH {_IP_TOKENS} SELECT doc_id, pos, variant, ip_address, is_valid FROM checked"
 
 _FX = f"""
-WITH {_RATES}
+WITH {RATES}
 SELECT o_orderkey, gbp_rate, eur_rate, o_totalprice * gbp_rate AS total_gbp, o_totalprice * eur_rate AS total_eur
 FROM orders LEFT JOIN rates ON CAST(o_orderdate AS DATE) = rate_day
 """
@@ -230,7 +230,7 @@ WHERE year = '1997' AND month = '06' AND day = '30'
 GROUP BY platform_name
 """
 
-_MONTH = "strftime(o_orderdate, '%Y-%m') = '1997-06'"
+MONTH = "strftime(o_orderdate, '%Y-%m') = '1997-06'"
 
 _CSV_COLUMNS = "c_custkey AS {0}, c_name || ', \"' || c_mktsegment || '\"' AS {1}, c_acctbal AS {2}"
 
@@ -296,14 +296,14 @@ ORACLES: dict[str, str] = {
         """,
     "contract_report": _contract_oracle(),
     "period_scan": f"""
-        SELECT o_orderkey, o_orderstatus, o_totalprice AS amount FROM orders WHERE {_MONTH}
+        SELECT o_orderkey, o_orderstatus, o_totalprice AS amount FROM orders WHERE {MONTH}
         """,
     "partition_publish": f"""
         WITH published AS (
-          SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders WHERE NOT {_MONTH}
+          SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders WHERE NOT {MONTH}
           UNION ALL
           SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS DECIMAL(18,2)) AS amount
-          FROM orders WHERE {_MONTH} AND o_orderstatus = 'F'
+          FROM orders WHERE {MONTH} AND o_orderstatus = 'F'
         )
         SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, count(*) AS orders,
                count(*) FILTER (o_orderstatus <> 'F') AS unfinished, CAST(sum(amount) AS DOUBLE) AS amount
@@ -315,7 +315,7 @@ ORACLES: dict[str, str] = {
     "csv_table_listing": f"SELECT {_CSV_COLUMNS.format('customer_id', 'customer_label', 'balance')} FROM customer",
     "catalog_partition_query": f"""
         SELECT o_orderkey, o_orderstatus, o_totalprice AS amount, '1997' AS year, '06' AS month
-        FROM orders WHERE {_MONTH} ORDER BY o_orderkey LIMIT 100
+        FROM orders WHERE {MONTH} ORDER BY o_orderkey LIMIT 100
         """,
     "single_file_export": """
         SELECT o_orderpriority, o_orderstatus, count(*) AS orders,

@@ -62,7 +62,7 @@ IP_SAMPLES = [
 ]
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return parquet_table(spark, f"{folder}/{name}.parquet")
 
 
@@ -71,25 +71,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def customer_regions(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as a dimension with the region they live in."""
-    nations = _table(spark, folder, "nation").join(
-        _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    nations = table(spark, folder, "nation").join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    customers = _table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return customers.select("c_custkey", "c_name", "r_name")
 
 
 def supplier_regions(spark: SparkSession, folder: str) -> DataFrame:
-    nations = _table(spark, folder, "nation").join(
-        _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    nations = table(spark, folder, "nation").join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    suppliers = _table(spark, folder, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    suppliers = table(spark, folder, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     return suppliers.select("s_suppkey", "r_name")
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with their order, and the booking's time of day as ``pickup``."""
-    lines = _table(spark, folder, "lineitem").join(
-        _table(spark, folder, "orders").select("o_orderkey", "o_orderdate"),
+    lines = table(spark, folder, "lineitem").join(
+        table(spark, folder, "orders").select("o_orderkey", "o_orderdate"),
         F.col("l_orderkey") == F.col("o_orderkey"),
     )
     time_of_day = F.make_dt_interval(secs=(F.col("l_partkey") % 86400).cast("decimal(18,6)"))
@@ -146,7 +146,7 @@ def _flag(column: str, yes: str, no: str) -> Column:
 
 def order_day_rates(spark: SparkSession, folder: str) -> DataFrame:
     """GBP and EUR rates for every weekday with an order; weekends have no quotes."""
-    days = _table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
     quotes = F.inline(
         F.array(
             F.struct(F.lit("GBP").alias("to_currency"), (0.7 + F.dayofmonth("day") / 1000.0).alias("rate")),
@@ -192,32 +192,32 @@ _RATIO = dict(distance="l_quantity", part="fee", whole="l_extendedprice", result
 
 def revenue_by_region(spark: SparkSession, folder: str) -> DataFrame:
     return reports.revenue_by_group(
-        _table(spark, folder, "orders"), customer_regions(spark, folder), ORDER_REGION, **_REVENUE
+        table(spark, folder, "orders"), customer_regions(spark, folder), ORDER_REGION, **_REVENUE
     )
 
 
 def revenue_by_region_sql(spark: SparkSession, folder: str) -> DataFrame:
     return reports.revenue_by_group_sql(
-        spark, _table(spark, folder, "orders"), customer_regions(spark, folder), ORDER_REGION, **_REVENUE
+        spark, table(spark, folder, "orders"), customer_regions(spark, folder), ORDER_REGION, **_REVENUE
     )
 
 
 def top_users_hourly(spark: SparkSession, folder: str) -> DataFrame:
     return reports.hourly_trend_of_top_groups(
-        _table(spark, folder, "events"), customer_regions(spark, folder), EVENT_CUSTOMER, timestamp="ts"
+        table(spark, folder, "events"), customer_regions(spark, folder), EVENT_CUSTOMER, timestamp="ts"
     )
 
 
 def top_users_hourly_sql(spark: SparkSession, folder: str) -> DataFrame:
     return reports.hourly_trend_of_top_groups_sql(
-        spark, _table(spark, folder, "events"), customer_regions(spark, folder), EVENT_CUSTOMER, timestamp="ts"
+        spark, table(spark, folder, "events"), customer_regions(spark, folder), EVENT_CUSTOMER, timestamp="ts"
     )
 
 
 def top_users(spark: SparkSession, folder: str) -> DataFrame:
     return top_groups(
-        _table(spark, folder, "events"),
-        _table(spark, folder, "customer"),
+        table(spark, folder, "events"),
+        table(spark, folder, "customer"),
         fact_key="user_id",
         dimension_key="c_custkey",
         group="c_name",
@@ -227,7 +227,7 @@ def top_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _line_fees(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "lineitem").withColumn("fee", F.col("l_extendedprice") * F.col("l_tax"))
+    return table(spark, folder, "lineitem").withColumn("fee", F.col("l_extendedprice") * F.col("l_tax"))
 
 
 def _rounded(df: DataFrame, column: str) -> DataFrame:
@@ -258,12 +258,12 @@ def _priority_labels(spark: SparkSession) -> DataFrame:
 
 
 def orders_by_priority_label(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.counts_by_label(_table(spark, folder, "orders"), _priority_labels(spark), ORDER_PRIORITY)
+    return reports.counts_by_label(table(spark, folder, "orders"), _priority_labels(spark), ORDER_PRIORITY)
 
 
 def orders_by_priority_label_sql(spark: SparkSession, folder: str) -> DataFrame:
     return reports.counts_by_label_sql(
-        spark, _table(spark, folder, "orders"), _priority_labels(spark), ORDER_PRIORITY
+        spark, table(spark, folder, "orders"), _priority_labels(spark), ORDER_PRIORITY
     )
 
 
@@ -271,7 +271,7 @@ def orders_by_priority_label_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def time_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "events").select(
+    return table(spark, folder, "events").select(
         "event_id",
         date_text("ts").alias("date_text"),
         date_key("ts").alias("date_key"),
@@ -312,7 +312,7 @@ def duration_metrics_udf(spark: SparkSession, folder: str) -> DataFrame:
 def fare_total(spark: SparkSession, folder: str) -> DataFrame:
     """Seven parts; a tax of zero counts as unknown and makes the total null."""
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-    return _table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         strict_total(
@@ -322,7 +322,7 @@ def fare_total(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flag_cast(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         yes_no_flag(_flag("l_returnflag", "R", "A")).alias("flag"),
@@ -333,7 +333,7 @@ def flag_cast(spark: SparkSession, folder: str) -> DataFrame:
 
 def _ip_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Dotted digit runs of all documents, each also with a 9 put in front, and the samples."""
-    found = _table(spark, folder, "documents").select(
+    found = table(spark, folder, "documents").select(
         "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"([0-9]+(?:\.[0-9]+)+)"))).alias("pos", "token")
     )
     variants = found.select(
@@ -371,8 +371,8 @@ def ip_validity_counts(spark: SparkSession, folder: str) -> DataFrame:
 def dimension_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Order rows with their customer's segment."""
     return attach_dimension(
-        _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
-        _table(spark, folder, "customer"),
+        table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+        table(spark, folder, "customer"),
         fact_key="o_custkey",
         dimension_key="c_custkey",
         attributes=["c_mktsegment"],
@@ -382,8 +382,8 @@ def dimension_lookup(spark: SparkSession, folder: str) -> DataFrame:
 def dimension_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the dimension taken as too large to broadcast."""
     return attach_dimension(
-        _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
-        _table(spark, folder, "customer"),
+        table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+        table(spark, folder, "customer"),
         fact_key="o_custkey",
         dimension_key="c_custkey",
         attributes=["c_mktsegment"],
@@ -395,7 +395,7 @@ def dimension_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
 def dimension_lookup_text_key(spark: SparkSession, folder: str) -> DataFrame:
     """Customers per segment and manager through a large lookup whose text key ignores case, as the facts' key does."""
     any_case = F.collate(F.lower("c_mktsegment"), "UTF8_LCASE")
-    customers = _table(spark, folder, "customer").select("c_custkey", any_case.alias("segment"))
+    customers = table(spark, folder, "customer").select("c_custkey", any_case.alias("segment"))
     managers = rows_table(
         spark,
         [("BUILDING", "Ada"), ("Machinery", "Ben"), ("AUTOMOBILE", "Cyd"), ("FURNITURE", "Dov")],
@@ -415,7 +415,7 @@ def dimension_lookup_text_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _priced_orders(spark: SparkSession, folder: str, **options) -> DataFrame:
-    orders = _table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     priced = attach_rates(
         orders.withColumn("currency", F.lit("USD")),
         order_day_rates(spark, folder),
@@ -467,9 +467,9 @@ def fact_contract_report(spark: SparkSession, folder: str) -> DataFrame:
 # --- storage --------------------------------------------------------------------------------------------------------
 
 
-def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
+def dated_orders(spark: SparkSession, folder: str) -> DataFrame:
     parts = partition_values("o_orderdate")
-    return _table(spark, folder, "orders").select(
+    return table(spark, folder, "orders").select(
         "o_orderkey",
         "o_orderstatus",
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
@@ -480,7 +480,7 @@ def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def _staged_orders(spark: SparkSession, folder: str, label: str) -> str:
     path = scratch_path(spark, label)
-    stage(_dated_orders(spark, folder), path, MONTH_PARTITIONS)
+    stage(dated_orders(spark, folder), path, MONTH_PARTITIONS)
     discard_at_exit(spark, path)
     return path
 
@@ -498,7 +498,7 @@ def partition_publish(spark: SparkSession, folder: str) -> DataFrame:
     """All orders as published history; finished orders of all months restated, one month of them published."""
     main = _staged_orders(spark, folder, "orders-main")
     staging = scratch_path(spark, "orders-staging")
-    orders = _dated_orders(spark, folder)
+    orders = dated_orders(spark, folder)
     restated = orders.where("o_orderstatus = 'F'").withColumn(
         "amount", (F.col("amount") * 2).cast("decimal(18,2)")
     )
@@ -525,7 +525,7 @@ def _customer_file(spark: SparkSession, folder: str) -> str:
     """Customers as CSV with commas and quotes inside a field."""
     path = scratch_path(spark, "customers-csv")
     label = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"'))
-    customers = _table(spark, folder, "customer").select("c_custkey", label.alias("label"), "c_acctbal")
+    customers = table(spark, folder, "customer").select("c_custkey", label.alias("label"), "c_acctbal")
     customers.write.options(header=True, quote='"', escape='"').csv(path)
     discard_at_exit(spark, path)
     return path
@@ -535,7 +535,7 @@ def csv_dim_scan(spark: SparkSession, folder: str) -> DataFrame:
     return csv_table(spark, _customer_file(spark, folder), "c_custkey long, label string, c_acctbal double")
 
 
-def _new_table_name(path: str) -> str:
+def new_table_name(path: str) -> str:
     return "fareloom_" + path.rsplit("-", 1)[-1]
 
 
@@ -547,7 +547,7 @@ def csv_inferred_scan(spark: SparkSession, folder: str) -> DataFrame:
 def csv_table_listing(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of an external CSV table whose columns are named differently from the file's header."""
     path = _customer_file(spark, folder)
-    table = _new_table_name(path)
+    table = new_table_name(path)
     renamed = StructType().add("customer_id", "long").add("customer_label", "string").add("balance", "double")
     catalog.create_csv_table(spark, table, renamed, path)
     return spark.table(table).select("*")
@@ -556,8 +556,8 @@ def csv_table_listing(spark: SparkSession, folder: str) -> DataFrame:
 def catalog_partition_query(spark: SparkSession, folder: str) -> DataFrame:
     """The first 100 rows of one partition of an external table; only that partition is registered at first."""
     path = _staged_orders(spark, folder, "orders-table")
-    table = _new_table_name(path)
-    catalog.create_fact_table(spark, table, _dated_orders(spark, folder).schema, MONTH_PARTITIONS, path)
+    table = new_table_name(path)
+    catalog.create_fact_table(spark, table, dated_orders(spark, folder).schema, MONTH_PARTITIONS, path)
     month = {"year": PERIOD.year, "month": PERIOD.month}
     catalog.add_partition(spark, table, month, f"{path}/{PERIOD.directory}")
     catalog.add_partition(spark, table, month)
@@ -569,7 +569,7 @@ def single_file_export(spark: SparkSession, folder: str) -> DataFrame:
     """A grouped result written as one file and read back."""
     path = scratch_path(spark, "export")
     totals = (
-        _table(spark, folder, "orders")
+        table(spark, folder, "orders")
         .groupBy("o_orderpriority", "o_orderstatus")
         .agg(
             F.count("*").alias("orders"),
@@ -584,7 +584,7 @@ def single_file_export(spark: SparkSession, folder: str) -> DataFrame:
 def staged_partition_listing(spark: SparkSession, folder: str) -> DataFrame:
     """The months that staging holds, from directory names alone."""
     path = _staged_orders(spark, folder, "orders-listed")
-    return staged_partitions(staged_table(spark, path, _dated_orders(spark, folder).schema), MONTH_PARTITIONS)
+    return staged_partitions(staged_table(spark, path, dated_orders(spark, folder).schema), MONTH_PARTITIONS)
 
 
 def _lake(spark: SparkSession, folder: str, trips: DataFrame, month_of: Column) -> monthly_job.JobPaths:
