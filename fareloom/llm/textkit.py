@@ -78,7 +78,8 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 def hash_strings(strings: pa.Array, seed: int = 0) -> np.ndarray:
     """64-bit hash of each string."""
     digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(s, seed) for s in strings.to_pylist()), np.uint64, len(strings))
+    plain = strings.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+    return np.fromiter((digest(s, seed) for s in plain), np.uint64, len(strings))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
