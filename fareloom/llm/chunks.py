@@ -1,16 +1,20 @@
-"""Substring deduplication by content-defined seeds.
+"""Substring deduplication by content-defined chunks.
 
 Every ``MIN_WORDS`` words in a row are a passage. The first occurrence of a passage by (doc_id, text, place) stays; the
 words of all later ones are cut from the text, so runs are cut to their last word. An occurrence that overlaps the first
 in the same text is not a later one. Shorter matches stay.
 
-Seeds spare most passages. The seed of a passage is the least of the hashes of its ``SEED_WORDS`` words in a row, the
-leftmost of equals. It depends on the passage alone, so two occurrences of a passage have equal seeds at two places, and
-neighbouring passages mostly share one: about one word in seven is a seed.
+1. A gear hash rolls over the words (four words deep) and cuts texts into chunks of eight words on average where its top
+   bits are zero, so an insertion moves no later cut. A chunk is taken with the following ones up to the cut behind the last
+   passage that starts in it. Chunks are counted by digest first; only those there twice (a bit map of fixed size lets them
+   through) meet their first occurrence in an exact join. All passages in a later occurrence are cut.
+2. What chunks can't show are passages at the ends of a repeated run and runs shorter than a chunk. The passages that no
+   later chunk holds, the first occurrences among them, go by seeds: the seed of a passage is the least of the hashes
+   of its ``SEED_WORDS`` words in a row, the leftmost of equals. Only passages whose seed is there twice meet in a join.
 
-Two passes: seeds are counted first, then only passages whose seed is there twice (a bit map of fixed size lets them
-through) meet in exact joins. Counts are combined before the shuffle, and a digest that holds a third of all passages
-meets its occurrences in a join that Spark can split.
+The first occurrence of a passage lies in no later chunk, so both steps together find every later one. Digests have 128
+bits. Digests with more than ``HOT`` occurrences are known from the count; their occurrences are dealt over ``SALTS``
+tasks and their first occurrence is repeated as often.
 
 Defined cases: null texts stay null and empty ones empty, with nothing cut; rows with the same id and text are one
 document, each cut alike; a null id comes first; a text cut to nothing is empty; an empty table gives no rows; further
@@ -33,35 +37,102 @@ from fareloom.session import materialise
 
 SEED_WORDS = 8
 MIN_WORDS = 20
+GEAR_WORDS = 4
+CHUNK_BITS = 3  # a cut after one word in 2**CHUNK_BITS
+HOT = 10_000
+SALTS = 64
+
+# Odd multipliers of the two halves of a digest; any odd values do.
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+class Digests:
+    """128-bit digests of any spans of a slice's words, from prefix sums over a polynomial."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.sums, self.scale = [], []
+        for base in _BASES:
+            powers, inverse = (
+                np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(hashes), x, np.uint64))))
+                for x in (base, pow(base, -1, 1 << 64))
+            )
+            self.sums.append(np.concatenate(([np.uint64(0)], np.cumsum(textkit.mix(hashes) * powers[:-1], dtype=np.uint64))))
+            self.scale.append(inverse)
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = (stop - start).astype(np.uint64)
+        low, high = (
+            textkit.mix(((sums[stop] - sums[start]) * scale[start]) ^ size).view(np.int64)
+            for sums, scale in zip(self.sums, self.scale, strict=True)
+        )
+        return low, high
+
+
+class Slice:
+    """Words of a slice of texts: bounds of the texts, hashes, chunks and passages. Places count over all its texts."""
+
+    def __init__(self, texts: pa.Array, length: int):
+        self.length = length
+        self.offsets, word, vocabulary = textkit.words(pc.ascii_lower(texts))
+        self.hashes = textkit.hash_strings(vocabulary)[word]
+        self.owner = textkit.rows_of(self.offsets)
+        self.digests = Digests(self.hashes)
+        self.cuts = self._cuts()
+
+    def _cuts(self) -> np.ndarray:
+        """First word of every chunk; a text begins one."""
+        gear, place = self.hashes.copy(), np.arange(len(self.hashes)) - self.offsets[:-1][self.owner]
+        shift = 64 // GEAR_WORDS
+        for k in range(1, GEAR_WORDS):
+            gear[k:] += np.where(place[k:] >= k, self.hashes[:-k] << np.uint64(shift * k), np.uint64(0))
+        first = place == 0
+        first[1:] |= (gear >> np.uint64(64 - CHUNK_BITS) == 0)[:-1]
+        return np.flatnonzero(first)
+
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(chunk, start, stop, two halves of the digest) of the chunks in which a passage starts."""
+        after = np.append(self.cuts[1:], len(self.hashes))
+        behind = np.searchsorted(self.cuts, after + self.length - 1)
+        stop = np.append(self.cuts, len(self.hashes))[behind]
+        stop = np.minimum(stop, self.offsets[1:][self.owner[self.cuts]])
+        full = np.flatnonzero(stop - self.cuts >= self.length)
+        return full, self.cuts[full], stop[full], *self.digests.of(self.cuts[full], stop[full])
+
+    def passages(self) -> np.ndarray:
+        """First word of every passage."""
+        at = np.arange(len(self.hashes))
+        return np.flatnonzero(at + self.length <= self.offsets[1:][self.owner])
+
+    def seeds(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(seed, its place) of the passages that start at ``at``."""
+        width = min(SEED_WORDS, self.length)
+        starts = np.arange(max(0, len(self.hashes) - width + 1))
+        short = self.digests.of(starts, starts + width)[0]
+        seed, place = short[at], at
+        for k in range(1, self.length - width + 1):
+            other = short[at + k]
+            less = other < seed
+            seed, place = np.where(less, other, seed), np.where(less, at + k, place)
+        return seed, place
+
+    def in_text(self, at: np.ndarray) -> np.ndarray:
+        return at - self.offsets[:-1][self.owner[at]]
 
 
-def passages(texts: pa.Array, length: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
-    """(text, first word, digest, seed, place of the seed) of every ``length`` words in a row; first words count within a
-    text, places over all."""
-    offsets, word, vocabulary = textkit.words(pc.ascii_lower(texts))
-    hashes = textkit.hash_strings(vocabulary)[word]
-    owner = textkit.rows_of(offsets)
-    at = np.flatnonzero(np.arange(len(hashes)) + length <= offsets[1:][owner])
-    width = min(SEED_WORDS, length)
-    full = max(0, len(hashes) - width + 1)
-    short = hashes[:full]
-    for k in range(1, width):
-        short = textkit.mix(short * textkit.MIX_A + hashes[k : full + k])
-    digest = short[at]
-    for k in [*range(width, length - width, width), length - width]:
-        digest = textkit.mix(digest * textkit.MIX_C + short[at + k])
-    seed, place = short[at], at
-    for k in range(1, length - width + 1):
-        other = short[at + k]
-        less = other < seed
-        seed, place = np.where(less, other, seed), np.where(less, at + k, place)
-    return owner[at], at - offsets[:-1][owner[at]], digest.view(np.int64), seed.view(np.int64), place
+def occurrences(texts: pa.Array, length: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, word after the last, low half of the digest) of each chunk."""
+    own = Slice(texts, length)
+    _, start, stop, low, _ = own.chunks()
+    owner = own.owner[start]
+    return owner, own.in_text(start), stop - own.offsets[:-1][owner], low
 
 
-def occurrences(texts: pa.Array, length: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, word after the last, digest) of each passage."""
-    owner, start, digest, _, _ = passages(texts, length)
-    return owner, start, start + length, digest
+def place_keys(part: pa.RecordBatch, owner: np.ndarray, start: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """64-bit key of an occurrence: document, place and digest."""
+    doc = pc.fill_null(part.column("doc_id"), -1).to_numpy(zero_copy_only=False).view(np.uint64)
+    text = pc.fill_null(part.column("text_key"), 0).to_numpy(zero_copy_only=False).view(np.uint64)
+    whose = textkit.mix(doc * textkit.MIX_C + text)[owner]
+    return textkit.mix(textkit.mix(whose + start.astype(np.uint64)) ^ digest.view(np.uint64)).view(np.int64)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -70,48 +141,112 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def seed_counts(docs: DataFrame, length: int) -> DataFrame:
-    """``digest, n`` over all seeds, combined within the task first. Rows of one document count again and again."""
+class Covered:
+    """Which chunks of a slice are later occurrences: those that may repeat and are not known to stay.
+
+    All chunks that pass the first bit map were joined exactly; the second holds those of them that are no later
+    occurrence. A place that it holds by chance is looked at again, at the price of time.
+    """
+
+    def __init__(self, repeated: np.ndarray, staying: np.ndarray):
+        self.repeated, self.staying = repeated, staying
+
+    def passages(self, part: pa.RecordBatch, own: Slice) -> np.ndarray:
+        """First words of the passages that no later chunk holds."""
+        chunk, start, _, low, _ = own.chunks()
+        key = place_keys(part, own.owner[start], own.in_text(start), low)
+        later = np.zeros(len(own.cuts), bool)
+        later[chunk] = bitfilter.holds(self.repeated, low) & ~bitfilter.holds(self.staying, key)
+        at = own.passages()
+        return at[~later[np.searchsorted(own.cuts, at, side="right") - 1]]
+
+
+def counted(docs: DataFrame, length: int, covered: Covered | None = None) -> DataFrame:
+    """``digest, n``: chunks by digest, or with ``covered`` seeds of the other passages by place; summed in tasks first.
+
+    Rows of one document count again and again.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                _, _, _, seed, place = passages(textkit.texts_of(part.column("text")), length)
-                digest, n = np.unique(seed[np.unique(place, return_index=True)[1]], return_counts=True)
+                own = Slice(textkit.texts_of(part.column("text")), length)
+                if covered is None:
+                    key = own.chunks()[3]
+                else:
+                    seed, place = own.seeds(covered.passages(part, own))
+                    key = seed[np.unique(place, return_index=True)[1]]
+                digest, n = np.unique(key, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(digest), pa.array(n, pa.int64())], ["digest", "n"])
 
-    partial = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "digest long, n long")
-    return partial.groupBy("digest").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(count, "digest long, n long").groupBy("digest").agg(F.sum("n").alias("n"))
 
 
-def repeated_occurrences(docs: DataFrame, bitmap: np.ndarray, length: int) -> DataFrame:
-    """``doc_id, text_key, start, stop, digest`` of the passages whose seed may occur twice."""
-    names = ["doc_id", "text_key", "start", "stop", "digest"]
+def bit_maps(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bit maps of the digests that are there twice, and of those with more than ``HOT`` occurrences."""
+    several = materialise(counts.filter(F.col("n") > 1), "repeated")
+    return bitfilter.build(several, "digest"), bitfilter.build(several.filter(F.col("n") > HOT), "digest")
+
+
+def found(docs: DataFrame, length: int, maps: tuple[np.ndarray, np.ndarray], covered: Covered | None = None) -> DataFrame:
+    """Rows of the chunks, or of the passages that no later chunk holds, that may be there twice.
+
+    ``doc_id, text_key, start, stop, low, high`` (halves of the digest), ``place`` (key of the occurrence), ``salt`` of
+    ``salts``.
+    """
+    repeated, hot = maps
+    names = ["doc_id", "text_key", "start", "stop", "low", "high", "place", "salt", "salts"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textkit.slices(batch, "text"):
-                owner, start, digest, seed, _ = passages(textkit.texts_of(part.column("text")), length)
-                stop, use = start + length, bitfilter.holds(bitmap, seed)
-                rows = pa.array(owner[use])
+                own = Slice(textkit.texts_of(part.column("text")), length)
+                if covered is None:
+                    _, start, stop, low, high = own.chunks()
+                    use, busy = bitfilter.holds(repeated, low), bitfilter.holds(hot, low)
+                    start, stop, low, high, busy = (x[use] for x in (start, stop, low, high, busy))
+                else:
+                    start = covered.passages(part, own)
+                    seed = own.seeds(start)[0]
+                    use, busy = bitfilter.holds(repeated, seed), bitfilter.holds(hot, seed)
+                    start, busy = start[use], busy[use]
+                    stop = start + length
+                    low, high = own.digests.of(start, stop)
+                owner = own.owner[start]
+                base = own.offsets[:-1][owner]
+                key = place_keys(part, owner, start - base, low)
+                salts = np.where(busy, SALTS, 1)
+                rows = pa.array(owner)
                 columns = [part.column("doc_id").take(rows), part.column("text_key").take(rows)]
-                columns += [pa.array(x[use], pa.int64()) for x in (start, stop, digest)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                values = (start - base, stop - base, low, high, key, (key.view(np.uint64) >> np.uint64(32)).astype(np.int64) % salts, salts)
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(x, pa.int64()) for x in values], names)
 
-    return keyed(docs).mapInArrow(find, "doc_id long, text_key long, start long, stop long, digest long")
+    return docs.mapInArrow(find, ", ".join(f"{name} long" for name in names))
 
 
-def cut_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, text_key, spans``: the word ranges to cut of each document that has any, in order."""
-    docs = textkit.in_small_batches(docs)
-    counts = seed_counts(docs, min_words).filter(F.col("n") > 1)
-    bitmap = bitfilter.build(counts, "digest")
-    seen = materialise(repeated_occurrences(docs, bitmap, min_words), "passages")
+def marked(rows: DataFrame, min_words: int) -> DataFrame:
+    """``rows`` with ``later``: whether the same words occur before, in another text or apart in the same one."""
     place = F.struct("doc_id", "text_key", "start")
-    first = seen.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
+    first = (
+        rows.groupBy("low", "high")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("salts").alias("salts"))
+        .filter(~F.col("first").eqNullSafe(F.col("last")))
+        .select("low", "high", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    )
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    later = seen.join(first, "digest").filter(~same | (F.col("start") >= F.col("first.start") + min_words))
+    later = F.col("first").isNotNull() & (~same | (F.col("start") >= F.col("first.start") + min_words))
+    return rows.join(first, ["low", "high", "salt"], "left").select("doc_id", "text_key", "start", "stop", "place", later.alias("later"))
+
+
+def cut_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, text_key, spans``: the word ranges to cut of each document that has any, in order."""
+    docs = keyed(textkit.in_small_batches(docs))
+    maps = bit_maps(counted(docs, min_words))
+    chunks = materialise(marked(found(docs, min_words, maps), min_words), "chunks")
+    covered = Covered(maps[0], bitfilter.build(chunks.filter(~F.col("later")), "place"))
+    rest = found(docs, min_words, bit_maps(counted(docs, min_words, covered)), covered)
+    passages = marked(materialise(rest, "passages"), min_words)
+    later = chunks.unionByName(passages).filter("later")
     # Ranges that touch or overlap form one run.
     own = Window.partitionBy("doc_id", "text_key").orderBy("start", "stop")
     reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))

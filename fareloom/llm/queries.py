@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, neighbours, packing, periodic, quality, spotsigs, textkit, topk
+from fareloom.session import materialise
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,7 +59,8 @@ def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Histogram of encoded lengths with its suffix sums."""
-    return lengths.with_suffix_sums(lengths.histogram(table(spark, folder, "documents")))
+    counted = materialise(lengths.histogram(table(spark, folder, "documents")), "histogram")  # read twice below
+    return lengths.with_suffix_sums(counted)
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
