@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import chunks, collocations, jaccard, language, lengths, licenses, mixing, neighbours, packing, periodic, quality, spotsigs, textkit, topk
+from fareloom.llm import (
+    chunks,
+    collocations,
+    jaccard,
+    language,
+    lengths,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    periodic,
+    quality,
+    spotsigs,
+    textkit,
+    topk,
+)
 from fareloom.session import materialise
 
 
@@ -32,7 +47,7 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(docs, labels.filter(textkit.id_fold("doc_id", 4) != 2))
     return quality.scored(docs.select("doc_id", "text", "n_chars"), model).select(
         "doc_id",
-        (textkit.id_fold("doc_id", 4) == 2).alias("held_out"),
+        F.coalesce(textkit.id_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
@@ -43,7 +58,11 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.train(docs.filter(textkit.id_fold("doc_id", 3) != 1))
     return language.predict(docs, model).select(
-        "doc_id", (textkit.id_fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "languages"
+        "doc_id",
+        F.coalesce(textkit.id_fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "languages",
     )
 
 

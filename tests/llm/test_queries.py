@@ -33,7 +33,7 @@ def test_query_equals_oracle(spark, name):
 
 def test_all_are_registered():
     names = driver.queries().keys()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and queries.QUERIES.keys() <= names
 
 
@@ -60,3 +60,31 @@ def test_pipeline_stages(spark):
     direct = corpus_pipeline.run(spark, FOLDER)
     fields = ["doc_id", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, direct.select(fields).collect())) == sorted(map(tuple, kept.select(fields).collect()))
+
+
+def test_one_row_of_each_class_stays(make_docs, prose):
+    """Null ids, shared ids, exact and near copies: by brute force over five-word shingles."""
+    base, other = prose(1, 200), prose(2, 200)
+    near = base + " tail"
+    rows = [(None, base), (None, base), (5, near), (5, other), (5, other + " x"), (6, other), (7, prose(7, 50)), (None, prose(8, 50))]
+    rows += [(9, None), (9, ""), (None, "a b"), (3, "a b")]
+    docs = make_docs(rows).withColumnRenamed("score", "stage class")
+    kept = corpus_pipeline.one_of_each_class(docs.sparkSession, docs, FOLDER)
+    assert kept.columns == docs.columns
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, component = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    component[i] = component[j] = min(component[i], component[j])
+    wanted = []
+    for c in set(component):
+        wanted.append(min((k is None, k or 0, k, t) for (k, t), own in zip(rows, component) if own == c)[2])
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, wanted))
+    texts = [r.text for r in kept.collect()]
+    assert sum(t in (base, near) for t in texts) == 1 and sum(bool(t) and t.startswith(other) for t in texts) == 1
