@@ -21,19 +21,25 @@ SIMILARITY_PERCENT = 80
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(textkit.id_fold("doc_id", 4) != 2)
-    scored = quality.scored(docs, quality.train(docs, labels), "quality score")
-    return scored.filter(F.col("`quality score`") >= quality.THRESHOLD).drop("quality score")
+    score = "score of the quality stage"
+    scored = quality.scored(docs, quality.train(docs, labels), score)
+    return scored.filter(F.col(f"`{score}`") >= quality.THRESHOLD).drop(score)
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near copies; rows without an id stay."""
-    found = jaccard.classes(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept id")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull())
-    kept = named.join(first, F.col("doc_id").cast("long") == F.col("`kept id`"), "left_semi")
-    # An id of its own is the rule; rows that repeat one are copies of a kept document.
-    kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One row of each class of near copies: the smallest id's, a null id counting last, then any of equal ids.
+
+    Rows get a number of their own for that, so rows without an id and rows that share one are told apart. Texts
+    without words are in no class; their rows stay.
+    """
+    row, owner = "stage row number", "stage class"
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = jaccard.classes(numbered.select(F.col(f"`{row}`").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILARITY_PERCENT)
+    ids = numbered.select(F.col(f"`{row}`").alias(row), F.col("doc_id").alias("stage id"))
+    found = found.select(F.col("doc_id").alias(row), F.col("component_id").alias(owner)).join(ids, row)
+    best = F.struct(F.col("`stage id`").isNull(), F.col("`stage id`"), F.col(f"`{row}`").alias("row"))
+    first = found.groupBy(owner).agg(F.min(best).alias("best")).select(F.col("best.row").alias(row))
+    return numbered.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +63,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packed_sequences),
 ]
 
-# Hashes, a fitted model and a tokenizer are beyond SQL; tests compare the stages with plain Python instead.
+# Hashes, a fitted model and a tokenizer are beyond SQL; tests compare what the stages keep and cut with plain Python.
 ORACLE_SQL = None
 
 
