@@ -224,29 +224,36 @@ def found(docs: DataFrame, length: int, maps: tuple[np.ndarray, np.ndarray], cov
     return docs.mapInArrow(find, ", ".join(f"{name} long" for name in names))
 
 
-def marked(rows: DataFrame, min_words: int) -> DataFrame:
-    """``rows`` with ``later``: whether the same words occur before, in another text or apart in the same one."""
-    place = F.struct("doc_id", "text_key", "start")
-    first = (
-        rows.groupBy("low", "high")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("salts").alias("salts"))
-        .filter(~F.col("first").eqNullSafe(F.col("last")))
-        .select("low", "high", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    )
+def marked(rows: DataFrame, min_words: int, hot: bool) -> DataFrame:
+    """``rows`` with ``later``: whether the same words occur before, in another text or apart in the same one.
+
+    One shuffle by digest and salt finds the first occurrence. With ``hot`` digests, theirs is the first of their salts.
+    """
+    own = Window.partitionBy("low", "high", "salt")
+    rows = rows.withColumn("first", F.min(F.struct("doc_id", "text_key", "start")).over(own))
+    if hot:
+        rows = materialise(rows, "firsts")
+        busy = rows.filter(F.col("salts") > 1)
+        first = busy.groupBy("low", "high").agg(F.min("first").alias("least"))
+        first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+        busy = busy.join(first, ["low", "high", "salt"]).withColumn("first", F.col("least")).drop("least")
+        rows = rows.filter(F.col("salts") == 1).unionByName(busy)
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    later = F.col("first").isNotNull() & (~same | (F.col("start") >= F.col("first.start") + min_words))
-    return rows.join(first, ["low", "high", "salt"], "left").select("doc_id", "text_key", "start", "stop", "place", later.alias("later"))
+    later = ~same | (F.col("start") >= F.col("first.start") + min_words)
+    return rows.withColumn("later", later).drop("first", "low", "high", "salt", "salts")
 
 
 def cut_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_key, spans``: the word ranges to cut of each document that has any, in order."""
     docs = keyed(textkit.in_small_batches(docs))
     maps = bit_maps(counted(docs, min_words))
-    chunks = materialise(marked(found(docs, min_words, maps), min_words), "chunks")
+    chunks = materialise(marked(found(docs, min_words, maps), min_words, maps[1].any()), "chunks")
     covered = Covered(maps[0], bitfilter.build(chunks.filter(~F.col("later")), "place"))
-    rest = found(docs, min_words, bit_maps(counted(docs, min_words, covered)), covered)
-    passages = marked(materialise(rest, "passages"), min_words)
-    later = chunks.unionByName(passages).filter("later")
+    chunks = chunks.filter("later").drop("place", "later")
+    maps = bit_maps(counted(docs, min_words, covered))
+    rest = marked(found(docs, min_words, maps, covered).drop("stop", "place"), min_words, maps[1].any())
+    rest = rest.filter("later").select("doc_id", "text_key", "start", (F.col("start") + min_words).alias("stop"))
+    later = chunks.unionByName(rest)
     # Ranges that touch or overlap form one run.
     own = Window.partitionBy("doc_id", "text_key").orderBy("start", "stop")
     reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))

@@ -119,9 +119,11 @@ def spans_by_brute_force(rows, length=20):
     return cut
 
 
-def test_every_repeated_passage_is_cut_to_its_last_word(make_docs, prose):
-    """Passages of 19 to 80 words, each in three contexts, and texts of few different words."""
-    rows = []
+@pytest.mark.parametrize("hot", [chunks.HOT, 3])
+def test_every_repeated_passage_is_cut_to_its_last_word(make_docs, prose, monkeypatch, hot):
+    """Passages of 19 to 80 words, each in three contexts, copies, and texts of few different words."""
+    monkeypatch.setattr(chunks, "HOT", hot)
+    rows = [(2000 + k, prose(77, 200) + (" more" * 30 if k > 3 else "")) for k in range(8)]
     for k in range(120):
         passage = prose(7000 + k, (19, 20, 21, 51, 80)[k % 5])
         rows += [(3 * k + c, f"{prose(9000 + 3 * k + c, 30)} {passage} {prose(11000 + 3 * k + c, 30)}") for c in range(3)]
