@@ -14,7 +14,7 @@ in the same text is not a later one. Shorter matches stay.
 
 The first occurrence of a passage lies in no later chunk, so both steps together find every later one. Digests have 128
 bits. Digests with more than ``HOT`` occurrences are known from the count; their occurrences are dealt over ``SALTS``
-tasks and their first occurrence is repeated as often.
+tasks, and only the first of each meet again.
 
 Defined cases: null texts stay null and empty ones empty, with nothing cut; rows with the same id and text are one
 document, each cut alike; a null id comes first; a text cut to nothing is empty; an empty table gives no rows; further
@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.llm import bitfilter, textkit
@@ -224,23 +224,29 @@ def found(docs: DataFrame, length: int, maps: tuple[np.ndarray, np.ndarray], cov
     return docs.mapInArrow(find, ", ".join(f"{name} long" for name in names))
 
 
+def after_first(rows: DataFrame, keys: list[str], occurrence: Column, min_words: int) -> DataFrame:
+    """``rows`` with ``first``, the least ``occurrence`` of their keys, and ``later``: whether they lie in another text or
+    apart from it in the same one."""
+    first = F.min(occurrence).over(Window.partitionBy(*keys))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    apart = F.col("start") >= F.col("first.start") + min_words
+    return rows.withColumn("first", first).withColumn("later", ~same | apart)
+
+
 def marked(rows: DataFrame, min_words: int, hot: bool) -> DataFrame:
     """``rows`` with ``later``: whether the same words occur before, in another text or apart in the same one.
 
-    One shuffle by digest and salt finds the first occurrence. With ``hot`` digests, theirs is the first of their salts.
+    One shuffle by digest and salt finds the first occurrence. Of ``hot`` digests, an occurrence that is later than the
+    first of its salt is later than the first of all, in whose text the order begins; only what is left of each salt,
+    that first one and what overlaps it, is compared across salts.
     """
-    own = Window.partitionBy("low", "high", "salt")
-    rows = rows.withColumn("first", F.min(F.struct("doc_id", "text_key", "start")).over(own))
+    rows = after_first(rows, ["low", "high", "salt"], F.struct("doc_id", "text_key", "start"), min_words)
     if hot:
         rows = materialise(rows, "firsts")
-        busy = rows.filter(F.col("salts") > 1)
-        first = busy.groupBy("low", "high").agg(F.min("first").alias("least"))
-        first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        busy = busy.join(first, ["low", "high", "salt"]).withColumn("first", F.col("least")).drop("least")
-        rows = rows.filter(F.col("salts") == 1).unionByName(busy)
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    later = ~same | (F.col("start") >= F.col("first.start") + min_words)
-    return rows.withColumn("later", later).drop("first", "low", "high", "salt", "salts")
+        open_still = (F.col("salts") > 1) & ~F.col("later")
+        left = after_first(rows.filter(open_still), ["low", "high"], F.col("first"), min_words)
+        rows = rows.filter(~open_still).unionByName(left)
+    return rows.drop("first", "low", "high", "salt", "salts")
 
 
 def cut_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
