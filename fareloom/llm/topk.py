@@ -6,7 +6,9 @@ product from above; the best bound is the one of the pivot that separates them m
 order of their bounds, and a query stops as soon as the next bound is below its k-th best score: exact, ties included.
 
 Layout: vectors are packed into chunks by nearest pivot and a hash slice, queries into blocks by hash, and each chunk
-meets each block once. A popular pivot is cut into as many slices as its size asks for. Scores of a fixed, small set of
+meets each block once. A popular pivot is cut into as many slices as its size asks for. Chunks are dealt into groups of
+about ``GROUP_CHUNKS``, and a block is sent to each group: the key of the join is (block, group), so no key holds more than
+a group of chunks, however few the blocks are. Scores of a fixed, small set of
 seed vectors give each query a first threshold, so that a chunk returns only what can still be in the answer.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows without id, take no part;
@@ -31,6 +33,7 @@ PIVOTS = 16
 SEEDS = 256
 CHUNK_ROWS = 2048
 BLOCK_QUERIES = 512
+GROUP_CHUNKS = 32
 BATCH = 64
 EXACT_COMPONENT = 1 << 20  # products of smaller components stay exact in doubles for up to 8192 dimensions
 PACK = "ids binary, vectors binary, dims int, distances binary"
@@ -162,23 +165,26 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
             }
         )
 
+    groups = max(1, -(-sum(per_cell.values()) // GROUP_CHUNKS))
     chunks = (
         placed.withColumn("slice", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), slices))
-        .groupBy("cell", "slice")
-        .applyInPandas(pack, PACK)
+        .withColumn("group", F.pmod(F.xxhash64("cell", "slice"), F.lit(groups)))
+        .groupBy("cell", "slice", "group")
+        .applyInPandas(lambda key, rows: pack(rows).assign(group=key[2]), PACK + ", group long")
     )
     once = materialise(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     n_blocks = max(1, -(-once.count() // BLOCK_QUERIES))
     blocks = (
         once.withColumn("number", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
         .groupBy("number")
-        .applyInPandas(lambda key, group: pack(group).assign(number=key[0]), PACK + ", number long")
+        .applyInPandas(lambda key, rows: pack(rows).assign(number=key[0]), PACK + ", number long")
+        .withColumn("group", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
     )
     # Each chunk meets each block: the stated query set against all rows, block by block.
     meetings = (
         chunks.withColumn("number", F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)")))
         .alias("c")
-        .join(blocks.alias("b"), "number")
+        .join(blocks.alias("b"), ["number", "group"])
         .select(
             "number",
             *[F.col(f"c.{c}").alias(f"c_{c}") for c in ("ids", "vectors", "dims", "distances")],

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,3 +46,25 @@ def test_scaling_and_usable(spark):
     df = spark.createDataFrame(data, "i int, e array<float>")
     kept = df.filter(topk.usable(F.col("e"))).select("i", topk.scaled(F.col("e"))).collect()
     assert [(r[0], r[1]) for r in kept] == [(1, [128, -1]), (6, [])]
+
+
+def test_no_key_of_the_join_holds_all_chunks(spark, monkeypatch):
+    """One block of queries, nothing broadcast: chunks are joined by (block, group), over several tasks."""
+    for name, value in (("SEEDS", 8), ("CHUNK_ROWS", 16), ("GROUP_CHUNKS", 4), ("PIVOTS", 4)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.integers(-9, 10, 5).tolist()) for i in range(1000)]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vectors = spark.createDataFrame(rows, "vec_id long, v array<long>")
+        answer = topk.top_k(vectors.filter("vec_id % 5 = 0 AND vec_id < 100"), vectors, 5)
+        plan = answer._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[number#\d+L?, group#\d+L?\]", plan)
+        assert sorted(map(tuple, answer.collect())) == brute_force_of(rows, range(0, 100, 5))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def brute_force_of(rows, queries, k=5):
+    return [row for row in brute_force(rows, k) if row[0] in queries]
