@@ -5,9 +5,9 @@ words that are not anchors themselves; the hashed chains form the fingerprint, a
 ``SPARSE`` words (tables, lists) adds all runs of ``CHAIN`` words, and one with fewer words than a run is taken whole, so
 no fingerprint is empty.
 
-Fingerprints are compared by Jaccard, pruned by set length: lengths are partitioned so that sets whose likeness can
-reach ``least`` are in the same or the next partition; others are 0 without a comparison. All of it is built-in
-expressions.
+Fingerprints are compared by Jaccard. With a bound ``least``, comparing is pruned by set length: lengths are partitioned so
+that sets whose likeness can reach it are in the same or the next partition; others are 0 without a comparison. Without
+one every likeness is exact. All of it is built-in expressions.
 
 Defined cases: a null text is an empty one; empty texts are alike (1.0); rows stand by id, null first, then by text, so
 repeated rows follow each other; the only row of a table is its own next; an empty table gives no rows; further columns
@@ -17,13 +17,13 @@ are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHAIN = 2
 SPARSE = 8
-LEAST = 0.05
 CELLS = 4096
 BUCKET_ROWS = 500
 MAX_BUCKETS = 28_000
@@ -96,18 +96,26 @@ def length_partition(size: Column, least: float) -> Column:
     return F.floor(F.log(size.cast("double")) / math.log(1 / least))
 
 
-def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
-    """Jaccard of two signatures; 0 where lengths alone keep it below ``least``."""
+def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Jaccard of two signatures; 0 where lengths alone keep it below ``least``, if that is above 0."""
     m, n = F.size(a), F.size(b)
+    if not least:
+        common = F.size(F.array_intersect(a, b))
+        return common / (m + n - common)
     near = F.abs(length_partition(m, least) - length_partition(n, least)) <= 1
     reachable = near & (F.least(m, n) >= least * F.greatest(m, n))
     common = F.size(F.array_intersect(a, b))
     return F.when(reachable, common / (m + n - common)).otherwise(F.lit(0.0))
 
 
-def followed(docs: DataFrame, carried: list[str]) -> DataFrame:
+def followed(
+    docs: DataFrame, carried: list[str], derive: Callable[[DataFrame], DataFrame] = lambda rows: rows, derived: Sequence[str] = ()
+) -> DataFrame:
     """Each row with ``next_<column>`` of the row that follows by id; the first follows the last.
 
+    Columns ``derived`` from the carried ones by ``derive`` are made once per row, after rows were dealt out, and carried
+    as well.
+
     Rows are dealt into id ranges of about ``BUCKET_ROWS`` rows, found from counts in equal cells of the id range, and
     each range is read in order. The first row of a range is also put at the end of the range before it. There are at
     most ``CELLS + MAX_BUCKETS`` ranges, so the table of their first ids is bounded and is broadcast.
@@ -172,19 +180,19 @@ def followed(docs: DataFrame, carried: list[str]) -> DataFrame:
     real = dealt(docs.select("doc_id", *columns)).withColumn("extra", F.lit(0))
     order = Window.partitionBy("cell", "part").orderBy("extra", F.col("doc_id").asc_nulls_first(), *columns)
     return (
-        real.unionByName(heads)
-        .select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carried])
+        derive(real.unionByName(heads))
+        .select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in (*carried, *derived)])
         .filter(F.col("extra") == 0)
         .drop("cell", "part", "extra")
     )
 
 
-def edited_fingerprints(docs: DataFrame, least: float = LEAST) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """Fingerprints of each document and of its edited text, whose last quarter is the start of the next document."""
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    pairs = followed(with_signature(base, "text", "spots"), ["text", "spots"])
+    pairs = followed(base, ["text"], lambda rows: with_signature(rows, "text", "spots"), ["spots"])
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(
