@@ -4,7 +4,7 @@ Texts are brought to a canonical form (lower case, copyright lines gone, equival
 white space single blanks) and their digest is joined with those of known licenses. What is looked up is the whole
 document, each run of paragraphs, each paragraph and each line, always as an entire text; a text whose canonical length
 no known license has is not even hashed, nor a run that starts with another word. All of it is built-in expressions;
-documents are read once and only hits are grouped.
+documents are read once and only hits are grouped. Work is linear in a text's paragraphs, up to many thousands of them.
 
 The table of known licenses is given by the caller, or it is ``KNOWN`` and the full texts in ``license_texts``; its size
 is checked before it is broadcast.
@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_KNOWN = 10_000
+BLOCK = 256  # paragraphs that are placed together
+PIECE = 4096  # characters of a text that are cut together
 
 # Notices and short licenses as published (fixed values).
 KNOWN = (
@@ -108,17 +110,48 @@ def known_digests(known: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def placed_paragraphs(paragraphs: Column) -> Column:
-    """``start, size, head`` of each paragraph in the text that they make up with single blanks between them."""
+def placed_blocks(paragraphs: Column) -> Column:
+    """Blocks of ``BLOCK`` paragraphs: the ``next`` free place, and ``start, size, head`` of ``all`` paragraphs, as if each
+    block began the text. Appending to an array copies it, so arrays that grow are kept short."""
     none = F.array().cast("array<struct<start:int,size:int,head:string>>")
 
-    def place(so_far: Column, p: Column) -> Column:
+    def place(so_far: Column, at: Column) -> Column:
+        p = F.get(paragraphs, at)
         size = F.char_length(p)
         own = F.struct(so_far["next"].alias("start"), size.alias("size"), F.substring_index(p, " ", 1).alias("head"))
         return F.struct((so_far["next"] + size + 1).alias("next"), F.concat(so_far["all"], F.array(own)).alias("all"))
 
-    start = F.struct(F.lit(1).alias("next"), none.alias("all"))
-    return F.aggregate(paragraphs, start, place, lambda so_far: so_far["all"])
+    def block(first: Column) -> Column:
+        last = F.least(first + BLOCK, F.size(paragraphs)) - 1
+        start = F.struct(F.lit(1).alias("next"), none.alias("all"))
+        return F.aggregate(F.sequence(first, last), start, place)
+
+    return F.transform(F.sequence(F.lit(0), F.size(paragraphs) - 1, F.lit(BLOCK)), block)
+
+
+def placed_paragraphs(blocks: Column) -> Column:
+    """``start, size, head`` of each paragraph in the text that they make up with single blanks between them."""
+
+    def add(so_far: Column, block: Column) -> Column:
+        end = F.element_at(so_far, -1) + block["next"] - 1
+        return F.concat(so_far, F.array(end))
+
+    def moved(pair: Column) -> Column:
+        return F.transform(
+            pair["blocks"]["all"],
+            lambda p: F.struct((p["start"] + pair["before"]).alias("start"), p["size"].alias("size"), p["head"].alias("head")),
+        )
+
+    before = F.aggregate(blocks, F.array(F.lit(0)), add)
+    paired = F.arrays_zip(blocks.alias("blocks"), F.slice(before, F.lit(1), F.size(blocks)).alias("before"))
+    return F.flatten(F.transform(paired, moved))
+
+
+def cut(pieces: Column, start: Column, size: Column) -> Column:
+    """``size`` characters from ``start`` (from 1) of a text in pieces of ``PIECE``: the work follows what is cut out."""
+    first, last = F.floor((start - 1) / PIECE).cast("int"), F.floor((start + size - 2) / PIECE).cast("int")
+    around = F.array_join(F.transform(F.sequence(first, last), lambda at: F.get(pieces, at)), "")
+    return F.substr(around, start - first * PIECE, size)
 
 
 def runs(wanted: Column) -> Column:
@@ -127,7 +160,7 @@ def runs(wanted: Column) -> Column:
     def of_size(k: Column) -> Column:
         starts = F.filter("placed", lambda p: (p["head"] == k["head"]) & (p["size"] < k["size"]))
         stops = F.array_intersect(F.transform(starts, lambda p: p["start"] + k["size"]), "stops")
-        return F.transform(stops, lambda stop: F.substr("joined", stop - k["size"], k["size"]))
+        return F.transform(stops, lambda stop: cut(F.col("pieces"), stop - k["size"], k["size"]))
 
     return F.coalesce(F.flatten(F.transform(wanted, of_size)), F.array().cast("array<string>"))
 
@@ -158,11 +191,14 @@ def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_K
     candidates = F.filter(parts, lambda u: F.array_contains(sizes, F.char_length(u["unit"])))
     split = F.filter(F.transform(F.split("form", "\\n *\\n[ \\n]*"), flat), lambda p: p != "")
     starts_one = F.exists("split", lambda p: F.array_contains(heads, F.substring_index(p, " ", 1)))
-    placed = F.when((F.size("split") > 1) & starts_one, placed_paragraphs(F.col("split")))
+    blocks = F.when((F.size("split") > 1) & starts_one, placed_blocks(F.col("split")))
+    pieces = F.when(F.col("blocks").isNotNull(), F.regexp_extract_all("joined", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+    placed = F.when(F.col("blocks").isNotNull(), placed_paragraphs(F.col("blocks")))
     found = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text").cast("string")).alias("form"))
         .select("doc_id", "form", split.alias("split"))
-        .select("doc_id", "form", F.array_join("split", " ").alias("joined"), placed.alias("placed"))
+        .select("doc_id", "form", F.array_join("split", " ").alias("joined"), blocks.alias("blocks"))
+        .select("doc_id", "form", pieces.alias("pieces"), placed.alias("placed"))
         .select("*", F.transform("placed", lambda p: p["start"] + p["size"]).alias("stops"))
         .select("doc_id", F.explode_outer(candidates).alias("u"))
         .select("doc_id", "u.whole", F.md5("u.unit").alias("digest"))
