@@ -299,12 +299,13 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = Fal
     With ``report``, instead ``doc_id, text, cut_words, spans`` per row, spans as ``[start, stop)`` in words of the
     original text.
     """
-    id_name, key_name, spans_name = "chunks doc id", "chunks text key", "chunks spans"
+    own = textkit.unused(docs, "chunks ")
+    id_name, key_name, spans_name, own_key = (f"{own}{label}" for label in ("doc id", "text key", "spans", "own key"))
     spans = cut_spans(docs, min_words).toDF(id_name, key_name, spans_name)
     text = F.col("text").cast("string")
-    joined = docs.withColumn("chunks own key", F.xxhash64(text)).join(
+    joined = docs.withColumn(own_key, F.xxhash64(text)).join(
         spans,
-        F.col("doc_id").cast("long").eqNullSafe(F.col(f"`{id_name}`")) & (F.col("`chunks own key`") == F.col(f"`{key_name}`")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(f"`{id_name}`")) & (F.col(f"`{own_key}`") == F.col(f"`{key_name}`")),
         "left",
     )
 

@@ -128,28 +128,28 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Copies are decided per (doc_id, source, size); rows that share these take each their own number of copies, in turn.
     """
-    key = ["doc_id", "source", "size"]
+    key, own = ["doc_id", "source", "size"], textkit.unused(docs, "mix_")
     chosen = mixture(docs, **options).filter(F.col("copies") > 0)
     turn = Window.partitionBy(*key).orderBy(F.desc("copies"))
     chosen = chosen.withColumn("turn", F.row_number().over(turn)).select(
-        *[F.col(k).alias(f"mix_{k}") for k in key], F.col("turn").alias("mix_turn"), F.col("copies").alias("mix_copies")
+        *[F.col(k).alias(f"{own}{k}") for k in key], F.col("turn").alias(f"{own}turn"), F.col("copies").alias(f"{own}copies")
     )
     rows = docs.withColumns(
         {
-            "mix_own_size": textkit.word_count(F.col("text").cast("string")),
-            "mix_own_id": F.col("doc_id").cast("long"),
+            f"{own}own_size": textkit.word_count(F.col("text").cast("string")),
+            f"{own}own_id": F.col("doc_id").cast("long"),
         }
     )
     rows = rows.withColumn(
-        "mix_own_turn",
-        F.row_number().over(Window.partitionBy("mix_own_id", "source", "mix_own_size").orderBy("text")),
+        f"{own}own_turn",
+        F.row_number().over(Window.partitionBy(f"{own}own_id", "source", f"{own}own_size").orderBy("text")),
     )
     joined = rows.join(
         chosen,
-        F.col("mix_own_id").eqNullSafe(F.col("mix_doc_id"))
-        & F.col("source").eqNullSafe(F.col("mix_source"))
-        & (F.col("mix_own_size") == F.col("mix_size"))
-        & (F.col("mix_own_turn") == F.col("mix_turn")),
+        F.col(f"{own}own_id").eqNullSafe(F.col(f"{own}doc_id"))
+        & F.col("source").eqNullSafe(F.col(f"{own}source"))
+        & (F.col(f"{own}own_size") == F.col(f"{own}size"))
+        & (F.col(f"{own}own_turn") == F.col(f"{own}turn")),
     )
-    repeated = joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    repeated = joined.withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}copies").cast("int"))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

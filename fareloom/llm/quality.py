@@ -30,6 +30,7 @@ BINS = 8
 FACTORS = 8
 EPOCHS = 40
 MAX_TRAINING_ROWS = 6000
+SLICE_ROWS = 512  # a row takes a few times WORD_CELLS numbers
 THRESHOLD = 0.7
 STATISTICS = 13
 
@@ -172,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in textkit.slices(batch, "text"):
+            for part in textkit.slices(batch, "text", rows=SLICE_ROWS):
                 n = np.maximum(part.column("n_chars").to_numpy(zero_copy_only=False), 0)
                 statistics, tf = raw_features(textkit.texts_of(part.column("text")), n)
                 rows, cells = np.nonzero(tf)
@@ -215,12 +216,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
 def scored(docs: DataFrame, model: QualityModel | None, column: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score in ``column`` (which replaces one of that name). Nothing is shuffled."""
     kept = textkit.in_small_batches(docs).drop(column)
-    text, chars = "quality text", "quality length"
+    own = textkit.unused(kept, "quality ")
+    text, chars = f"{own}text", f"{own}length"
     schema = kept.schema.add(column, "double")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in textkit.slices(batch, text):
+            for part in textkit.slices(batch, text, rows=SLICE_ROWS):
                 n = np.maximum(part.column(chars).to_numpy(zero_copy_only=False), 0)
                 if model is None:
                     value = np.full(part.num_rows, 0.5)

@@ -1,7 +1,7 @@
 """Small helpers for the Arrow tasks of this package: bounded slices, words, hashes, crc32 folds.
 
 Everything here works on one slice of an Arrow batch at a time, so a task holds a few times ``SLICE_BYTES`` of text (or
-one very long text) whatever the size of its partition.
+one very long text) whatever the size of its partition. Where memory follows rows, slices are bounded in rows too.
 """
 
 from __future__ import annotations
@@ -37,6 +37,13 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def unused(df: DataFrame, prefix: str) -> str:
+    """A prefix that no column of ``df`` starts with, for columns that are put beside its own."""
+    while any(name.lower().startswith(prefix.lower()) for name in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def texts_of(column: pa.Array) -> pa.Array:
     """Text column of a batch with nulls as empty texts.
 
@@ -46,13 +53,16 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "")
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of a batch with about ``limit`` bytes of text each, one row at least."""
+def slices(
+    batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with about ``limit`` bytes of text each and at most ``rows`` rows, one at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False) + 16)
     start = 0
     while start < batch.num_rows:
         base = size[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
+        end = end if rows is None else min(end, start + rows)
         yield batch.slice(start, end - start)
         start = end
     pa.default_memory_pool().release_unused()  # a worker lives on between tasks

@@ -44,6 +44,17 @@ def test_held_out_labels_and_languages(spark):
     assert len(rows) > 20 and sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
 
 
+def test_held_out_quality(spark):
+    """Documents of the held-out fold against their labels, on a table with some hundreds of them."""
+    folder = FOLDER.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("quality IS NOT NULL")
+    scored = driver.queries()["op5_quality_classifier"](spark, folder).filter("held_out").join(labels, "doc_id")
+    rows = scored.select("quality", "predicted", "score").collect()
+    assert len(rows) > 50 and sum(r.quality == r.predicted for r in rows) >= 0.9 * len(rows)
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    assert sum((g > b) + (g == b) / 2 for g in good for b in bad) >= 0.95 * len(good) * len(bad)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept, columns = docs, docs.columns
