@@ -21,7 +21,7 @@ SIMILARITY_PERCENT = 80
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(textkit.id_fold("doc_id", 4) != 2)
-    score = "score of the quality stage"
+    score = textkit.unused(docs, "score of the quality stage")
     scored = quality.scored(docs, quality.train(docs, labels), score)
     return scored.filter(F.col(f"`{score}`") >= quality.THRESHOLD).drop(score)
 
@@ -32,7 +32,7 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows get a number of their own for that, so rows without an id and rows that share one are told apart. Texts
     without words are in no class; their rows stay.
     """
-    row, owner = "stage row number", "stage class"
+    row, owner = (f"{textkit.unused(docs, 'stage ')}{label}" for label in ("row number", "class"))
     numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = jaccard.classes(numbered.select(F.col(f"`{row}`").alias("doc_id"), "text"), SHINGLE_WORDS, SIMILARITY_PERCENT)
     ids = numbered.select(F.col(f"`{row}`").alias(row), F.col("doc_id").alias("stage id"))
