@@ -158,11 +158,12 @@ def runs(wanted: Column) -> Column:
     """Every run of two paragraphs or more that has the size and first word of a known text."""
 
     def of_size(k: Column) -> Column:
-        starts = F.filter("placed", lambda p: (p["head"] == k["head"]) & (p["size"] < k["size"]))
+        starts = F.filter("headed", lambda p: (p["head"] == k["head"]) & (p["size"] < k["size"]))
         stops = F.array_intersect(F.transform(starts, lambda p: p["start"] + k["size"]), "stops")
         return F.transform(stops, lambda stop: cut(F.col("pieces"), stop - k["size"], k["size"]))
 
-    return F.coalesce(F.flatten(F.transform(wanted, of_size)), F.array().cast("array<string>"))
+    fitting = F.filter(wanted, lambda k: k["size"] <= F.col("length"))
+    return F.coalesce(F.flatten(F.transform(fitting, of_size)), F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_KNOWN) -> DataFrame:
@@ -184,9 +185,11 @@ def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_K
     lines = F.split("form", "\\n")
     paragraphs = F.filter(F.split("form", "\\n *\\n[ \\n]*"), lambda p: p.rlike("[^ \\n] *\\n[ \\n]*[^ \\n]"))
     parts = F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), flat(F.col("form")).alias("unit"))),
-        F.transform(F.concat(paragraphs, lines), lambda u: F.struct(F.lit(False).alias("whole"), flat(u).alias("unit"))),
-        F.transform(runs(wanted), lambda u: F.struct(F.lit(False).alias("whole"), u.alias("unit"))),
+        F.array(F.struct(F.lit(True).alias("whole"), F.col("joined").alias("unit"))),
+        F.transform(
+            F.concat(F.transform(paragraphs, flat), F.transform(lines, lambda line: F.trim(line)), runs(wanted)),
+            lambda u: F.struct(F.lit(False).alias("whole"), u.alias("unit")),
+        ),
     )
     candidates = F.filter(parts, lambda u: F.array_contains(sizes, F.char_length(u["unit"])))
     split = F.filter(F.transform(F.split("form", "\\n *\\n[ \\n]*"), flat), lambda p: p != "")
@@ -198,8 +201,16 @@ def scan(docs: DataFrame, known: DataFrame | None = None, max_known: int = MAX_K
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), canonical_lines(F.col("text").cast("string")).alias("form"))
         .select("doc_id", "form", split.alias("split"))
         .select("doc_id", "form", F.array_join("split", " ").alias("joined"), blocks.alias("blocks"))
-        .select("doc_id", "form", pieces.alias("pieces"), placed.alias("placed"))
-        .select("*", F.transform("placed", lambda p: p["start"] + p["size"]).alias("stops"))
+        .select("doc_id", "form", "joined", pieces.alias("pieces"), placed.alias("placed"))
+        .select(
+            "doc_id",
+            "form",
+            "joined",
+            "pieces",
+            F.char_length("joined").alias("length"),
+            F.filter("placed", lambda p: F.array_contains(heads, p["head"])).alias("headed"),
+            F.transform("placed", lambda p: p["start"] + p["size"]).alias("stops"),
+        )
         .select("doc_id", F.explode_outer(candidates).alias("u"))
         .select("doc_id", "u.whole", F.md5("u.unit").alias("digest"))
     )
