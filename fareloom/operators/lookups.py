@@ -12,8 +12,8 @@ from pyspark.sql.types import ArrayType, AtomicType, BinaryType, DataType, Strin
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is split into pieces of about so many.
 ROWS_PER_PIECE = 1_000_000
-# At most this many keys are split, so that the table of them stays small; beyond so many pieces of rows in all, pieces
-# grow with the data instead.
+# At most this many keys are split, the heaviest ones, so that the table of them stays small. Each gets as many pieces as
+# its rows need; a key too light for the table has less than one in so many of all rows.
 SPLIT_KEYS = 5_000
 # Counters of the heavy-hitter sketch.
 TRACKED_KEYS = 10 * SPLIT_KEYS
@@ -66,7 +66,10 @@ def heavy_keys(df: DataFrame, key: Column, rows_per_piece: int = ROWS_PER_PIECE)
     """Hashes of keys with more than ``rows_per_piece`` rows, each with the number of pieces that restores it.
 
     One pass over the key columns with a mergeable sketch of fixed size: no shuffle of keys, and at most ``SPLIT_KEYS``
-    results. The counts are estimates, which decide only how rows are spread, never which rows match.
+    results. Keys with fewer than one in ``SPLIT_KEYS`` of all rows are not sure to be among them and are left out;
+    that many of their rows stay together at most. Pieces follow the rows of a key at any size of the data: all of them
+    together are at most the number of rows over ``rows_per_piece``, twice over. The counts are estimates, which decide
+    only how rows are spread, never which rows match.
     """
     found = (
         df.select(key.alias(_HASH))
@@ -76,8 +79,8 @@ def heavy_keys(df: DataFrame, key: Column, rows_per_piece: int = ROWS_PER_PIECE)
         )
         .first()
     )
-    share = max(rows_per_piece, found["rows"] / SPLIT_KEYS)
-    return [(key.item, ceil(key["count"] / share)) for key in found["top"] or [] if key["count"] > share]
+    least = max(rows_per_piece, found["rows"] / SPLIT_KEYS)
+    return [(key.item, ceil(key["count"] / rows_per_piece)) for key in found["top"] or [] if key["count"] > least]
 
 
 def spread_join(
@@ -88,7 +91,7 @@ def spread_join(
     spread_by: Sequence[str],
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
-    """Shuffle join in which no reducer gets more than about ``rows_per_piece`` facts of one key.
+    """Shuffle join in which no reducer gets more than about ``rows_per_piece`` facts of one heavy key (``heavy_keys``).
 
     Facts of a heavy key are dealt out over its pieces, and the lookup rows of that key, and only those, are repeated
     once per piece, so that every pair meets exactly once. The piece is a hash of the fact row, never a random

@@ -4,6 +4,7 @@ import pytest
 from result_helpers import final_plan, rows
 from pyspark.sql import functions as F
 
+from fareloom.operators import lookups
 from fareloom.operators.lookups import attach, attach_dimension, heavy_keys, measured_bytes, spread_join
 from fareloom.operators.rates import attach_rates, daily_rates
 
@@ -44,6 +45,14 @@ def test_a_small_share_of_many_rows_is_split(spark):
     assert [(key, pieces) for key, pieces in heavy_keys(keys, F.xxhash64("k"), 40) if key == hot] == [(hot, 3)]
 
 
+def test_pieces_follow_the_rows_of_a_heavy_key(spark, monkeypatch):
+    """With many more rows than ``SPLIT_KEYS`` pieces the heaviest keys still get pieces of ``rows_per_piece`` rows."""
+    monkeypatch.setattr(lookups, "SPLIT_KEYS", 10)
+    keys = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.pmod("id", F.lit(50))).alias("k"))
+    hot = spark.sql("SELECT xxhash64(-1L)").first()[0]
+    assert heavy_keys(keys, F.xxhash64("k"), 40) == [(hot, 500)]
+
+
 MIXED = [("HOT",)] * 3000 + [("hot",)] * 500 + [("Cold",)] * 5 + [(None,)] * 400
 
 
