@@ -1,15 +1,21 @@
-"""Exact top-k by inner product with pivot-table elimination.
+"""Exact top-k by inner product: tiles of pairs by matrix product, and pivot-table elimination of whole tiles.
 
 Vectors are integers. Every vector's distance to a fixed number of pivots is computed once. For a query q, a vector x and
 any pivot p, ``|d(q, p) - d(x, p)|`` is a lower bound of their distance, so with both lengths known it bounds the inner
-product from above; the best bound is the one of the pivot that separates them most. Candidates are evaluated in the
-order of their bounds, and a query stops as soon as the next bound is below its k-th best score: exact, ties included.
+product from above; the best bound is the one of the pivot that separates them most. A tile of neighbouring vectors shares
+one bound a query, by the range of its distances to each pivot; queries whose k-th best score is above it skip the tile.
+The others meet it in one matrix product, and only pairs that reach the k-th best score so far are ranked: exact, ties
+included. The product is taken in single or double precision where the lengths show that every partial sum is exact; with
+larger integers it is an estimate of known error, and the pairs it leaves are computed with Python's integers.
 
-Layout: vectors are packed into chunks by nearest pivot and a hash slice, queries into blocks by hash, and each chunk
-meets each block once. A popular pivot is cut into as many slices as its size asks for. Chunks are dealt into groups of
-about ``GROUP_CHUNKS``, and a block is sent to each group: the key of the join is (block, group), so no key holds more than
-a group of chunks, however few the blocks are. Scores of a fixed, small set of
-seed vectors give each query a first threshold, so that a chunk returns only what can still be in the answer.
+Cost: all pairs of queries and vectors, less the tiles skipped, so with the product of both counts at the worst. Vectors
+without clusters skip no tile.
+
+Layout: vectors are packed into chunks by nearest pivot and a hash slice, ordered by their distance to that pivot and cut
+into tiles; queries go into blocks by hash, and each chunk meets each block once. A popular pivot is cut into as many slices
+as its size asks for. Chunks are dealt into groups of about ``GROUP_CHUNKS``, and a block is sent to each group: the key of
+the join is (block, group), so no key holds more than a group of chunks, however few the blocks are. Scores of a fixed, small
+set of seed vectors give each query a first threshold, so that a chunk returns only what can still be in the answer.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows without id, take no part;
 shorter vectors count as padded with zeros; a query's own rows are those with its id; a query given twice is answered
@@ -22,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +39,10 @@ SEEDS = 256
 CHUNK_ROWS = 2048
 BLOCK_QUERIES = 512
 GROUP_CHUNKS = 32
-BATCH = 64
+BATCH = 64  # pairs computed with Python's integers at a time
+TILE_ROWS = 512
+HELD_QUERIES = 1 << 16  # queries whose best a task holds before it returns them
+EXACT_PRODUCTS = ((np.float32, 2.0**23), (np.float64, 2.0**52))  # exact integers, with room for rounding
 EXACT_COMPONENT = 1 << 20  # products of smaller components stay exact in doubles for up to 8192 dimensions
 PACK = "ids binary, vectors binary, dims int, distances binary"
 
@@ -63,67 +71,158 @@ def widened(m: np.ndarray, dims: int) -> np.ndarray:
     return m if m.shape[1] == dims else np.pad(m, ((0, 0), (0, dims - m.shape[1])))
 
 
+def matrix(column: pa.Array) -> np.ndarray:
+    """Rows of one width from a column of lists, filled with zeros."""
+    if column.null_count:
+        raise ValueError("null vectors take no part: filter them first")
+    counts = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(counts), max(1, int(counts.max(initial=0)))), np.int64)
+    out[np.arange(out.shape[1]) < counts[:, None]] = column.flatten().to_numpy(zero_copy_only=True)
+    return out
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows of two matrices."""
     dims = max(a.shape[1], b.shape[1])
     a, b = widened(a, dims), widened(b, dims)
-    largest = max(int(np.abs(a).max(initial=0)), int(np.abs(b).max(initial=0)))
-    if 0 <= largest < EXACT_COMPONENT and dims <= 8192:
+    largest = max(max(int(m.max(initial=0)), -int(m.min(initial=0))) for m in (a, b))
+    if largest < EXACT_COMPONENT and dims <= 8192:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     exact = a.astype(object) @ b.astype(object).T
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def distances(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Euclidean distances of rows to pivots."""
-    dims = max(m.shape[1], pivots.shape[1])
-    a, b = widened(m, dims).astype(np.float64), widened(pivots, dims).astype(np.float64)
-    squared = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T
-    return np.sqrt(np.maximum(squared, 0))
+def pair_products(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Exact inner products of listed pairs of rows."""
+    out = np.zeros(len(rows), np.int64)
+    for start in range(0, len(rows), BATCH):
+        part = slice(start, start + BATCH)
+        exact = (a[rows[part]].astype(object) * b[cols[part]].astype(object)).sum(axis=1)
+        out[part] = np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+    return out
+
 
+def squares(m: np.ndarray) -> np.ndarray:
+    """Squared lengths of rows."""
+    m = m.astype(np.float64)
+    return np.einsum("ij,ij->i", m, m)
 
-def unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, vectors, distances) of a packed chunk or block."""
-    ids = np.frombuffer(row["ids"], np.int64)
+
+def distances(m: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Euclidean distances of rows to pivots, from below and from above."""
+    dims = max(m.shape[1], pivots.shape[1])
+    a, b = widened(m, dims).astype(np.float64), widened(pivots, dims).astype(np.float64)
+    both = squares(a)[:, None] + squares(b)[None, :]
+    squared, error = both - 2 * a @ b.T, (dims + 8) * 2.0**-51 * both
+    return np.sqrt(np.maximum(squared - error, 0)), np.sqrt(np.maximum(squared + error, 0))
+
+
+def pack(rows: pa.Table, pivots: np.ndarray, step: int, cell: int | None = None) -> dict[str, list]:
+    """One packed row; least and greatest distances to pivots of every ``step`` vectors, ordered by that to ``cell``."""
+    m, ids = matrix(rows["v"].combine_chunks()), rows["vec_id"].combine_chunks().to_numpy(zero_copy_only=True)
+    low, high = distances(m, pivots)
+    if cell is not None:
+        order = np.argsort(low[:, cell], kind="stable")
+        m, ids, low, high = m[order], ids[order], low[order], high[order]
+    starts = np.arange(0, len(ids), step)
+    ranges = np.stack([np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)], axis=1)
+    fits = (t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= m.min() and m.max() <= np.iinfo(t).max)
+    return {
+        "ids": [ids.tobytes()],
+        "vectors": [m.astype(next(fits)).tobytes()],
+        "dims": np.array([m.shape[1]], np.int32),
+        "distances": [ranges.tobytes()],
+    }
+
+
+def unpack(batch: pa.RecordBatch, row: int, side: str, n_pivots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, vectors, ranges of distances) of a packed chunk or block."""
+    ids, vectors, ranges = (batch.column(f"{side}_{c}")[row].as_buffer() for c in ("ids", "vectors", "distances"))
+    ids, dims = np.frombuffer(ids, np.int64), batch.column(f"{side}_dims")[row].as_py()
+    kind = f"i{vectors.size // (len(ids) * dims)}"
     return (
         ids,
-        np.frombuffer(row["vectors"], np.int64).reshape(len(ids), row["dims"]),
-        np.frombuffer(row["distances"], np.float64).reshape(len(ids), -1),
+        np.frombuffer(vectors, kind).reshape(len(ids), dims),
+        np.frombuffer(ranges, np.float64).reshape(-1, 2, n_pivots),
     )
 
 
-def merged(held: tuple[np.ndarray, np.ndarray], ids: np.ndarray, scores: np.ndarray, k: int):
-    """The k best of what is held and what is new: highest score, then smallest id."""
-    ids, scores = np.concatenate((held[0], ids)), np.concatenate((held[1], scores))
-    best = np.lexsort((ids, -scores.astype(object) if (scores == -(2**63)).any() else -scores))[:k]
-    return ids[best], scores[best]
-
-
-def search(query: tuple, chunk: tuple, floors: np.ndarray, held: dict, k: int) -> None:
-    """Bring ``held`` (query id to its best) up to date with one chunk. ``floors``: scores known to be reached."""
-    q_ids, q, q_far = query
-    ids, x, x_far = chunk
-    q_norm = (q.astype(np.float64) ** 2).sum(axis=1)
-    x_norm = (x.astype(np.float64) ** 2).sum(axis=1)
-    for row in range(len(q_ids)):
-        apart = np.abs(x_far - q_far[row]).max(axis=1)
-        slack = 1e-9 * (q_norm[row] + x_norm) + 1e-6
-        bound = (q_norm[row] + x_norm - apart * apart) / 2 + slack
-        best = held.get(int(q_ids[row]), (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        least = max(float(floors[row]), float(best[1][-1]) if len(best[0]) == k else -np.inf)
-        open_ = np.flatnonzero((bound >= least) & (ids != q_ids[row]))
-        open_ = open_[np.argsort(-bound[open_], kind="stable")]
-        for start in range(0, len(open_), BATCH):
-            part = open_[start : start + BATCH]
-            if bound[part[0]] < least:
-                break
-            score = products(q[row : row + 1], x[part])[0]
-            good = score >= least
-            best = merged(best, ids[part][good], score[good], k)
-            if len(best[0]) == k:
-                least = max(least, float(best[1][-1]))
-        if len(best[0]):
-            held[int(q_ids[row])] = best
+class Best:
+    """The k best of every query of a block: highest score, then smallest id.
+
+    ``least`` and ``last`` are score and id of a query's k-th best known; what comes after them is not in the answer.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.least = np.full(len(queries), -(2**63))
+        self.last = np.full(len(queries), np.iinfo(np.int64).max)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what is held, but not what is known of the k-th best."""
+        self.rows = self.ids = self.scores = np.zeros(0, np.int64)
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Scores of candidates for the queries at ``rows``."""
+        least = self.least[rows]
+        open_ = (scores > least) | ((scores == least) & (ids <= self.last[rows]))
+        open_ &= ids != self.queries[rows]
+        if not open_.any():
+            return
+        touched = np.zeros(len(self.queries), bool)
+        touched[rows[open_]] = True
+        again = touched[self.rows]
+        rows = np.concatenate((rows[open_], self.rows[again]))
+        ids = np.concatenate((ids[open_], self.ids[again]))
+        scores = np.concatenate((scores[open_], self.scores[again]))
+        order = np.lexsort((ids, ~scores, rows))  # ~ reverses the order of all 64-bit integers
+        place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+        order, place = order[place < self.k], place[place < self.k]
+        rows, ids, scores = rows[order], ids[order], scores[order]
+        self.rows = np.concatenate((self.rows[~again], rows))
+        self.ids = np.concatenate((self.ids[~again], ids))
+        self.scores = np.concatenate((self.scores[~again], scores))
+        full = place == self.k - 1
+        row, score, id_ = rows[full], scores[full], ids[full]
+        better = (score > self.least[row]) | ((score == self.least[row]) & (id_ < self.last[row]))
+        self.least[row[better]], self.last[row[better]] = score[better], id_[better]
+
+
+def reaching(q: np.ndarray, x: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, exact score) of all pairs whose score is at least that of the row of q."""
+    dims = max(q.shape[1], x.shape[1])
+    q, x = widened(q, dims), widened(x, dims)
+    q_length, x_length = np.sqrt(squares(q)), np.sqrt(squares(x))
+    largest = q_length.max() * x_length.max()  # no partial sum of a product is larger
+    for kind, exact in EXACT_PRODUCTS:
+        if largest < exact:
+            scores = q.astype(kind) @ x.astype(kind).T
+            rows, cols = np.divmod(np.flatnonzero(scores >= least.astype(kind)[:, None]), len(x))
+            return rows, cols, scores[rows, cols].astype(np.int64)
+    error = (dims + 8) * 2.0**-51 * q_length[:, None] * x_length
+    most = np.clip(q.astype(np.float64) @ x.astype(np.float64).T + error, -(2.0**63), 2.0**63)
+    rows, cols = np.divmod(np.flatnonzero(most >= least[:, None]), len(x))
+    scores = pair_products(q, x, rows, cols)
+    good = scores >= least[rows]
+    return rows[good], cols[good], scores[good]
+
+
+def search(query: tuple, chunk: tuple, best: Best, tile_rows: int) -> None:
+    """Bring ``best`` up to date with one chunk."""
+    _, q, q_ranges = query
+    ids, x, x_ranges = chunk
+    q_norm, x_norm = squares(q), squares(x)
+    for tile, (nearest, farthest) in enumerate(x_ranges):
+        part = slice(tile * tile_rows, (tile + 1) * tile_rows)
+        longest = x_norm[part].max()
+        apart = np.maximum(nearest - q_ranges[:, 1], q_ranges[:, 0] - farthest).max(axis=1).clip(0)
+        bound = np.minimum((q_norm + longest - apart * apart) / 2, np.sqrt(q_norm * longest))
+        bound = np.maximum(bound, -(2.0**63)) + 1e-9 * (q_norm + longest) + 1e-6
+        open_ = np.flatnonzero(bound >= best.least)
+        if len(open_):
+            rows, cols, scores = reaching(q[open_], x[part], best.least[open_])
+            best.add(open_[rows], ids[part][cols], scores)
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
@@ -138,8 +237,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = padded([np.asarray(v, np.int64) for v in batch.column("v").to_pylist()])
-            cell = distances(m, pivots).argmin(axis=1) if batch.num_rows else np.zeros(0, np.int64)
+            cell = distances(matrix(batch.column("v")), pivots)[1].argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cell, pa.int32())], ["vec_id", "v", "cell"]
             )
@@ -153,31 +251,27 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     for cell, n in per_cell.items():
         slices = F.when(F.col("cell") == cell, F.lit(n)).otherwise(slices)
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        m = padded(group["v"].tolist())
-        ids = group["vec_id"].to_numpy(np.int64)
-        return pd.DataFrame(
-            {
-                "ids": [ids.tobytes()],
-                "vectors": [m.tobytes()],
-                "dims": [m.shape[1]],
-                "distances": [distances(m, pivots).tobytes()],
-            }
-        )
+    tile_rows = TILE_ROWS
+
+    def chunk_of(key: tuple, rows: pa.Table) -> pa.Table:
+        return pa.table({**pack(rows, pivots, tile_rows, key[0].as_py()), "group": [key[2].as_py()]})
+
+    def block_of(key: tuple, rows: pa.Table) -> pa.Table:
+        return pa.table({**pack(rows, pivots, 1), "number": [key[0].as_py()]})
 
     groups = max(1, -(-sum(per_cell.values()) // GROUP_CHUNKS))
     chunks = (
         placed.withColumn("slice", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), slices))
         .withColumn("group", F.pmod(F.xxhash64("cell", "slice"), F.lit(groups)))
         .groupBy("cell", "slice", "group")
-        .applyInPandas(lambda key, rows: pack(rows).assign(group=key[2]), PACK + ", group long")
+        .applyInArrow(chunk_of, PACK + ", group long")
     )
     once = materialise(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     n_blocks = max(1, -(-once.count() // BLOCK_QUERIES))
     blocks = (
         once.withColumn("number", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
         .groupBy("number")
-        .applyInPandas(lambda key, rows: pack(rows).assign(number=key[0]), PACK + ", number long")
+        .applyInArrow(block_of, PACK + ", number long")
         .withColumn("group", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
     )
     # Each chunk meets each block: the stated query set against all rows, block by block.
@@ -192,26 +286,34 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
         )
     )
 
+    def begun(ids: np.ndarray, vectors: np.ndarray) -> Best:
+        """Nothing held yet, and the k-th best of the seeds known."""
+        best, known = Best(ids, k), products(vectors, seeds)
+        least = np.partition(known, -k - 1, axis=1)[:, -k - 1] if len(seeds) > k else np.full(len(ids), -(2**63))
+        rows, cols = np.nonzero(known >= least[:, None])
+        best.add(rows, sample_ids[cols], known[rows, cols])
+        best.forget()
+        return best
+
+    def results(held: dict[int, Best]) -> pa.RecordBatch:
+        columns = [(b.queries[b.rows], b.ids, b.scores) for b in held.values()] or [[np.zeros(0, np.int64)] * 3]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c)) for c in zip(*columns)], ["query_id", "vec_id", "score"]
+        )
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        floors: dict[int, np.ndarray] = {}
+        held: dict[int, Best] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                query = unpack({c[2:]: v for c, v in row.items() if c[:2] == "b_"})
-                chunk = unpack({c[2:]: v for c, v in row.items() if c[:2] == "c_"})
-                if row["number"] not in floors:
-                    known = products(query[1], seeds).astype(np.float64)
-                    known[query[0][:, None] == sample_ids[None, :]] = -np.inf
-                    floor = np.sort(known, axis=1)[:, -k] if len(seeds) >= k else np.full(len(query[0]), -np.inf)
-                    floors[row["number"]] = floor
-                search(query, chunk, floors[row["number"]], held, k)
-        ids = np.array([q for q, (x, _) in held.items() for _ in x], np.int64)
-        columns = [
-            ids,
-            np.concatenate([x for x, _ in held.values()] or [np.zeros(0, np.int64)]),
-            np.concatenate([s for _, s in held.values()] or [np.zeros(0, np.int64)]),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+            for row in range(batch.num_rows):
+                query, chunk = (unpack(batch, row, side, len(pivots)) for side in "bc")
+                number = batch.column("number")[row].as_py()
+                if number not in held:
+                    if sum(len(b.queries) for b in held.values()) >= HELD_QUERIES:
+                        yield results(held)
+                        held.clear()
+                    held[number] = begun(query[0], query[1])
+                search(query, chunk, held[number], tile_rows)
+        yield results(held)
 
     if not len(seeds):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
